@@ -4,20 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillfold.llm import mixing, quality
+from quillfold.llm import mixing, packing, quality, simhash
 from quillfold.llm.common import documents
 
 
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir)).drop("source")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 QUERIES = {
+    "op2_pack": op2_pack,
     "op7_mix_sources": op7_mix_sources,
+    "op8_simhash": op8_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
 
