@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillfold.llm import mixing, packing, quality, simhash
+from quillfold.llm import lm_score, mixing, packing, quality, simhash
 from quillfold.llm.common import documents
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.fit_and_score(documents(spark, sf_dir))
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).drop("source")
 
@@ -25,6 +29,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_score": op1_lm_score,
     "op2_pack": op2_pack,
     "op7_mix_sources": op7_mix_sources,
     "op8_simhash": op8_simhash,
