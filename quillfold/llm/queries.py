@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillfold.llm import lm_score, mixing, packing, quality, simhash
+from quillfold.llm import langid, lm_score, mixing, packing, quality, simhash, topk
 from quillfold.llm.common import documents
 
 
@@ -16,6 +16,10 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).drop("source")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -24,6 +28,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(documents(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
@@ -31,9 +39,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_pack": op2_pack,
+    "op6_language_id": op6_language_id,
     "op7_mix_sources": op7_mix_sources,
     "op8_simhash": op8_simhash,
+    "op9_exact_topk": op9_exact_topk,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_exact_topk": """
+        WITH valid AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM valid q JOIN valid c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+}
