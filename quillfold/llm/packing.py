@@ -22,6 +22,7 @@ table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import array
+import json
 import os
 import re
 import zlib
@@ -42,43 +43,81 @@ MAX_SOURCES = 100_000
 CACHE_PIECES = 400_000
 CACHE_CHARS = 48
 BATCH_CHARS = 400_000
+#: Fixed by the vocabulary file's kind: how byte-level BPE splits a text before it merges.
+PRE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 _TOKENIZERS: dict[str, PieceTokenizer] = {}
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_STABLE = re.compile(r"[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*+")
 _TWO_SPACES = re.compile(r"\s\s")
 
 
+def _byte_of_symbol() -> dict[str, int]:
+    """Byte-level vocabularies write printable bytes as themselves and the others as characters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class PieceTokenizer:
-    """Ids of whole texts, from a cache of the ids of pieces between single spaces.
+    """Ids of whole texts by a byte-level BPE file.
 
-    Byte-level BPE splits a text at every space between two other characters before it merges, and the space goes
-    with what follows; so the ids of " piece" do not depend on the rest.
+    Texts of characters whose classes no Unicode version changes (ASCII and Latin letters) are merged by rank with the
+    file's own vocabulary, whose ids stand in merge order. In other texts the
+    file's tokenizer gives the ids of the pieces between single spaces, which are cached: byte-level BPE splits a text
+    at every space between two other characters before it merges, and the space goes with what follows; so the ids of
+    " piece" do not depend on the rest.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.inner: dict[str, bytes] = {}
+        self.fast = None
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocabulary, symbol = spec["model"]["vocab"], _byte_of_symbol()
+        special = {x["content"] for x in spec.get("added_tokens", ())}
+        ranks = {bytes(symbol[c] for c in t): i for t, i in vocabulary.items() if t not in special}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        order = [vocabulary[a + b] for a, b in merges]
+        if order == sorted(order) and len(ranks) == 256 + len(merges):
+            self.fast = tiktoken.Encoding("own", pat_str=PRE_SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         return [array.array("I", e.ids).tobytes() for e in self.tok.encode_batch(pieces, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        out: list[bytes] = [b""] * len(texts)
+        slow = []
+        for i, t in enumerate(texts):
+            if self.fast is not None and _STABLE.fullmatch(t):
+                out[i] = array.array("I", self.fast.encode_ordinary(t)).tobytes()
+            else:
+                slow.append(i)
+        for i, b in zip(slow, self._by_piece([texts[i] for i in slow]), strict=True):
+            out[i] = b
+        return out
+
+    def _by_piece(self, texts: list[str]) -> list[bytes]:
         split = [_CUT.split(t) if _TWO_SPACES.search(t) else t.split(" ") for t in texts]
         heads = self._encode([p[0] for p in split])
         need: set[str] = set()
         for p in split:
             need.update(p[1:])
-        new = list(need - self.inner.keys())
+        new = [p for p in need if p not in self.inner]
         if len(new) + len(self.inner) > CACHE_PIECES:
             self.inner.clear()
             new = list(need)
-        found = self._encode([" " + p for p in new])
-        self.inner.update(zip(new, found, strict=True))
+        plain = [p for p in new if self.fast is not None and _STABLE.fullmatch(p)]
+        other = [p for p in new if self.fast is None or not _STABLE.fullmatch(p)]
+        self.inner.update((p, array.array("I", self.fast.encode_ordinary(" " + p)).tobytes()) for p in plain)
+        self.inner.update(zip(other, self._encode([" " + p for p in other]), strict=True))
         get = self.inner.__getitem__
         out = [h + b"".join(map(get, p[1:])) for h, p in zip(heads, split, strict=True)]
         for p in new:
