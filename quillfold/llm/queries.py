@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillfold.llm import langid, line_dedup, lm_score, mixing, packing, quality, secrets, simhash, topk
+from quillfold.llm import langid, line_dedup, lm_score, mixing, packing, quality, secrets, simhash, suffix_dedup, topk
 from quillfold.llm.common import documents
 
 
@@ -16,6 +16,10 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).drop("source")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(documents(spark, sf_dir))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find(documents(spark, sf_dir)))
 
@@ -47,6 +51,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_pack": op2_pack,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_secrets": op4_secrets,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
