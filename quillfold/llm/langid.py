@@ -281,10 +281,13 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model, text_at: int, name
 def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, text: str = "text") -> DataFrame:
     """The columns `keep` (default: doc_id) and lang_pred, score, cross_entropy and rejected."""
     keep = ["doc_id"] if keep is None else keep
-    read = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(keep)], docs[text].cast("string").alias("t"))
-    schema = ", ".join([f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)] + ["lang_pred string", "score double", "cross_entropy double", "rejected boolean"])
-    done = read.mapInArrow(partial(_predict, model=model, text_at=len(keep), names=[f"c{i}" for i in range(len(keep))]), schema)
-    return done.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score", "cross_entropy", "rejected")
+    held = [docs[c].alias(f"c{i}") for i, c in enumerate(keep)]
+    again = text in keep and docs.schema[text].dataType.simpleString() == "string"  # then it travels once
+    read = docs.select(*held, *([] if again else [docs[text].cast("string").alias("t")]))
+    names = [f"c{i}" for i in range(len(keep))]
+    schema = ", ".join([f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(names, keep, strict=True)] + ["lang_pred string", "score double", "cross_entropy double", "rejected boolean"])
+    done = read.mapInArrow(partial(_predict, model=model, text_at=keep.index(text) if again else len(keep), names=names), schema)
+    return done.select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "lang_pred", "score", "cross_entropy", "rejected")
 
 
 def fold(doc_id: Column, folds: int) -> Column:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillfold.llm.common import n_words, stored, text_of
@@ -42,10 +42,8 @@ def targets(sizes: dict[str | None, int], weights: Sequence[float], share: float
     return {s: out.get(s, 0.0) for s in order}
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 42) -> DataFrame:
-    """One row per document: doc_id, size, source, source_size, target, copies, taken (size times copies)."""
-    spark = docs.sparkSession
-    sized = stored(
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
+    return stored(
         docs.select(
             "doc_id",
             docs["source"].cast("string").alias("source"),
@@ -54,39 +52,54 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
         ),
         "mix",
     )
+
+
+def _thresholds(sized: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
+    """plan_source, source_size, target, copies, bits, below: a row a source."""
+    spark = sized.sparkSession
     totals = sized.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(totals) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources: give them coarser names")
     sizes = {r["source"]: r["n"] or 0 for r in totals}
     goal = targets(sizes, weights, share, most)
-    state = {s: _Threshold(int(goal[s] // sizes[s]) if sizes[s] else 0, goal[s] - (goal[s] // sizes[s]) * sizes[s] if sizes[s] else 0.0) for s in sizes}
+    state = {s: _Threshold(int(goal[s] // n) if n else 0, goal[s] % n if n else 0.0) for s, n in sizes.items()}
     for level in range(LEVELS):
         open_ = {s: t for s, t in state.items() if not t.done}
         if not open_:
             break
-        at = spark.createDataFrame([(s, t.prefix) for s, t in open_.items()], "bound_source string, prefix long")
         used = BITS * level
+        at = spark.createDataFrame([(s, t.prefix, float(t.rest)) for s, t in open_.items()], "bound_source string, prefix long, rest double")
         here = sized.join(F.broadcast(at), F.col("source").eqNullSafe(F.col("bound_source")))
         if used:
             here = here.where(F.shiftrightunsigned("h", 64 - used) == F.col("prefix"))
         bucket = F.shiftrightunsigned("h", 64 - used - BITS).bitwiseAND((1 << BITS) - 1)
-        sums = here.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
-        order = Window.partitionBy("source").orderBy("bucket")
-        run = sums.withColumn("upto", F.sum("size").over(order))
-        rest = spark.createDataFrame([(s, float(t.rest)) for s, t in open_.items()], "bound_source string, rest double")
-        edge = (
-            run.join(F.broadcast(rest), F.col("source").eqNullSafe(F.col("bound_source")))
-            .where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("size") <= F.col("rest")))
-            .select("source", "bucket", "docs", "size", (F.col("upto") - F.col("size")).alias("below"))
-        )
+        # at most 2^BITS rows a source from here on
+        sums = here.groupBy("source", "rest", bucket.alias("bucket")).agg(F.sum("size").alias("size"), F.count("*").alias("docs"))
+        run = sums.withColumn("upto", F.sum("size").over(Window.partitionBy("source").orderBy("bucket")))
+        below = F.col("upto") - F.col("size")
+        edge = run.where((F.col("upto") > F.col("rest")) & (below <= F.col("rest"))).select("source", "bucket", "docs", "size", below.alias("below"))
         found = {r["source"]: r for r in edge.collect()}
         for s, t in open_.items():
             t.step(found.get(s), last=level == LEVELS - 1)
     rows = [(s, sizes[s], float(goal[s]), t.copies, t.bits, t.below) for s, t in state.items()]
-    plan = spark.createDataFrame(rows, "plan_source string, source_size long, target double, copies long, bits int, below long")
-    # The first `bits` bits of the hash, as a number, are under `below`.
-    under = F.when(F.col("bits") == 0, F.lit(False)).otherwise(F.expr("shiftrightunsigned(h, 64 - bits)") < F.col("below"))
-    out = sized.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("plan_source"))).withColumn("copies", F.col("copies") + under.cast("long"))
+    return spark.createDataFrame(rows, "plan_source string, source_size long, target double, copies long, bits int, below long")
+
+
+def _copies(h: Column) -> Column:
+    """By a plan's columns: the copies of every document, and one more if the hash's first `bits` bits are under `below`."""
+    under = (F.col("bits") > 0) & (F.call_function("shiftrightunsigned", h, 64 - F.col("bits")) < F.col("below"))
+    return F.col("copies") + under.cast("long")
+
+
+def _plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 42):
+    return _thresholds(_sized(docs, seed), weights, share, most), _copies
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 42) -> DataFrame:
+    """One row per document: doc_id, size, source, source_size, target, copies, taken (size times copies)."""
+    sized = _sized(docs, seed)
+    plan = _thresholds(sized, weights, share, most)
+    out = sized.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("plan_source"))).withColumn("copies", _copies(F.col("h")))
     return out.select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
@@ -114,6 +127,14 @@ class _Threshold:
             self.done = True
 
 
-def repeat(docs: DataFrame, copies: DataFrame) -> DataFrame:
-    """docs with each row as often as `copies` (doc_id, copies) says; rows of copies 0 go."""
-    return docs.join(copies.select("doc_id", "copies"), "doc_id").withColumn("copies", F.explode(F.expr("sequence(1, copies)"))).drop("copies")
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """docs with each row as often as the mix takes it; rows that it does not take go.
+
+    The decision depends on doc_id, source and text alone, so a row's copies are recomputed from the thresholds where
+    the row is read, and no text is moved.
+    """
+    plan, copies = _plan(docs, **how)
+    source = docs["source"].cast("string")
+    joined = docs.join(F.broadcast(plan), source.eqNullSafe(plan["plan_source"]))
+    times = copies(F.xxhash64(F.lit(how.get("seed", 42)), docs["doc_id"], text_of(docs)))
+    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*[docs[c] for c in docs.columns])

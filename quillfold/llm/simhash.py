@@ -1,13 +1,16 @@
 """SimHash near-duplicate classes with bit-sliced comparison.
 
 A document's fingerprint has a bit set where over half of its shingles' hashes have it. Distinct fingerprints within
-a radius are linked, classes are the connected components. Two fingerprints that differ in at most `radius` bits
-agree on some `BLOCKS - radius` of BLOCKS blocks of bits; each such choice of blocks is a table of buckets, and only
-fingerprints in one bucket are compared. A bucket's fingerprints are stored as vertical bit planes; a row's distances
-to all of them are counted at once by carry-save counters that saturate above the radius, and rows are abandoned
-once all their counters have. Buckets over TILE fingerprints are cut into tiles and compared tile pair by tile pair.
-A comparison gives a spanning forest of the links that it finds, never all pairs; components are then found by
-minimum labels over the stored links with label jumping.
+a radius are linked, classes are the connected components. Fingerprints meet in buckets, by tables of some of their
+bits. For 64 bits the tables are exact: two fingerprints that differ in at most `radius` bits agree on two of
+radius + 2 blocks of bits, and each pair of blocks is a table. For wider fingerprints each KEY_BITS bits are a table;
+a pair within the radius meets with the probability that 1 of these is untouched (README has measured recall).
+
+In a bucket all fingerprints are compared, many buckets at once. They are stored as vertical bit planes, 64 of them a
+word; a row's distances to a word of others are counted together by carry-save counters, started so that they
+overflow just above the radius, and a row's word is abandoned once all its counters have. Buckets over TILE
+fingerprints are cut into tiles and compared tile pair by tile pair. A comparison gives a spanning forest of the links
+that it finds, never all pairs; components are then found by minimum labels over the stored links with label jumping.
 
 Cases: null and empty texts have fingerprint 0 and are linked like any other; fewer words than a shingle: the whole
 sequence is the one shingle; a null doc_id takes part, but is no class's id unless its class has no other; repeated
@@ -30,97 +33,113 @@ from quillfold.llm.common import stored, text_of
 
 SEED = 42
 TILE = 4096
+KEY_BITS = 12
+#: Words of counters that are compared at once, about.
+AT_ONCE = 100_000
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def fingerprint(text: str | bytes, span: int = 3) -> int:
-    """The unsigned 64-bit fingerprint of one text."""
+def _limb(h: np.ndarray, k: int) -> np.ndarray:
+    """The k-th 64 hash bits made from the first."""
+    if not k:
+        return h
+    x = h + np.uint64(0x9E3779B97F4A7C15 * k & 0xFFFFFFFFFFFFFFFF)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(text: str | bytes, span: int = 3, limbs: int = 1) -> list[int]:
+    """One text's fingerprint as unsigned 64-bit limbs."""
     import xxhash
 
     w = (text.encode() if isinstance(text, str) else text).lower().split()
     if not w:
-        return 0
-    if len(w) < span:
-        return xxhash.xxh64_intdigest(b" ".join(w), SEED)
-    n = len(w) - span + 1
-    shingles = map(b" ".join, zip(*(w[i : i + n] for i in range(span)), strict=True))
+        return [0] * limbs
+    n = max(1, len(w) - span + 1)
+    shingles = map(b" ".join, zip(*(w[i : i + n] for i in range(span)), strict=True)) if len(w) >= span else [b" ".join(w)]
     h = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, n, 65536):
-        ones += np.unpackbits(h[at : at + 65536].view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    out = []
+    for k in range(limbs):
+        ones = np.zeros(64, np.int64)
+        for at in range(0, n, 65536):
+            ones += np.unpackbits(_limb(h[at : at + 65536], k).view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
+        out.append(int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0]))
+    return out
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
+def _fingerprints(batches: Iterator[pa.RecordBatch], span: int, limbs: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = np.fromiter((fingerprint(t, span) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+        prints = np.array([fingerprint(t, span, limbs) for t in batch.column(1).to_pylist()], np.uint64).reshape(-1, limbs)
+        cells = pa.ListArray.from_arrays(np.arange(0, prints.size + 1, limbs, dtype=np.int32), prints.view(np.int64).ravel())
+        yield pa.RecordBatch.from_arrays([batch.column(0), cells], names=["doc_id", "limbs"])
 
 
-def fingerprints(docs: DataFrame, span: int = 3) -> DataFrame:
-    """doc_id and fp, the fingerprint's bits as a signed long."""
+def fingerprints(docs: DataFrame, span: int = 3, limbs: int = 1) -> DataFrame:
+    """doc_id, limbs (the fingerprint's bits as signed longs) and fp, one long that names the fingerprint."""
     read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).cast("binary").alias("text"))
-    return read.mapInArrow(partial(_fingerprints, span=span), "doc_id long, fp long")
-
-
-def bucket_keys(fp: Column, radius: int) -> Column:
-    """An array of one bucket number for each choice of blocks that a pair within the radius may agree on."""
-    blocks = radius + 2
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    part = [F.shiftrightunsigned(fp, a).bitwiseAND((1 << (b - a)) - 1) for a, b in zip(edges, edges[1:], strict=False)]
-    return F.array(*[F.struct(F.lit(k).alias("table"), (F.shiftleft(part[i], edges[j + 1] - edges[j]).bitwiseOR(part[j])).alias("key")) for k, (i, j) in enumerate(combinations(range(blocks), 2))])
-
-
-def near(rows: np.ndarray, block: np.ndarray, radius: int) -> np.ndarray:
-    """A bit matrix (little-endian words) of which of block's fingerprints lie within radius (1, 3 or 7) of each row."""
-    words = -(-len(block) // 64)
-    padded = np.zeros(words * 64, np.uint64)
-    padded[: len(block)] = block
-    planes = np.stack([np.packbits((padded >> np.uint64(b)).astype(np.uint8) & 1, bitorder="little").view("<u8") for b in range(64)])
-    counters = (radius + 1).bit_length() - 1
-    alive = np.arange(len(rows))
-    out = np.zeros((len(rows), words), np.uint64)
-    count = [np.zeros((len(rows), words), np.uint64) for _ in range(counters)]
-    over = np.zeros((len(rows), words), np.uint64)
-    if len(block) % 64:
-        over[:, -1] = ALL << np.uint64(len(block) % 64)
-    left = rows
-    for b in range(64):
-        carry = planes[b] ^ (np.uint64(0) - ((left >> np.uint64(b)) & np.uint64(1)))[:, None]
-        for c in count:
-            both = c & carry
-            c ^= carry
-            carry = both
-        over |= carry
-        if b % 8 == 7 and b < 63:
-            on = (over != ALL).any(axis=1)
-            if not on.all():
-                alive, left, over = alive[on], left[on], over[on]
-                count = [c[on] for c in count]
-                if not len(alive):
-                    return out
+    made = read.mapInArrow(partial(_fingerprints, span=span, limbs=limbs), "doc_id long, limbs array<long>")
+    return made.select("doc_id", "limbs", (F.get("limbs", F.lit(0)) if limbs == 1 else F.xxhash64("limbs")).alias("fp"))
+
+
+def bucket_keys(cells: Column, limbs: int, radius: int) -> Column:
+    """An array of the buckets (table, key) of a fingerprint."""
+    if limbs > 1:
+        cuts = [(k, a) for k in range(limbs) for a in range(0, 64 - KEY_BITS + 1, KEY_BITS)]
+        keys = [F.shiftrightunsigned(F.get(cells, F.lit(k)), a).bitwiseAND((1 << KEY_BITS) - 1) for k, a in cuts]
+    else:
+        fp, blocks = F.get(cells, F.lit(0)), radius + 2
+        edges = [64 * i // blocks for i in range(blocks + 1)]
+        part = [F.shiftrightunsigned(fp, a).bitwiseAND((1 << (b - a)) - 1) for a, b in zip(edges, edges[1:], strict=False)]
+        keys = [F.shiftleft(part[i], edges[j + 1] - edges[j]).bitwiseOR(part[j]) for i, j in combinations(range(blocks), 2)]
+    return F.array(*[F.struct(F.lit(k).alias("table"), key.alias("key")) for k, key in enumerate(keys)])
+
+
+def near(prints: np.ndarray, sizes: np.ndarray, radius: int) -> list[np.ndarray]:
+    """For each group of `sizes` rows of prints (rows, limbs): a bit matrix of which rows lie within radius of which."""
+    words = -(-sizes // 64)
+    base = np.cumsum(words) - words  # each group's first word
+    first = np.cumsum(sizes) - sizes
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    place = base[group] * 64 + np.arange(len(prints)) - first[group]
+    many = words[group]
+    row = np.repeat(np.arange(len(prints)), many)
+    word = np.repeat(base[group], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    real = np.zeros(words.sum() * 64, np.uint8)
+    real[place] = 1
+    over = ~np.packbits(real, bitorder="little").view("<u8")[word]
+    counters = int(radius).bit_length()
+    start = (1 << counters) - 1 - radius  # a counter overflows at radius + 1 differing bits
+    count = [np.full(len(row), ALL if start >> c & 1 else np.uint64(0)) for c in range(counters)]
+    out, alive = np.zeros(len(row), np.uint64), np.arange(len(row))
+    padded = np.zeros(len(real), np.uint64)
+    for limb in range(prints.shape[1]):
+        padded[place] = prints[:, limb]
+        for b in range(64):
+            plane = np.packbits((padded >> np.uint64(b)).astype(np.uint8) & 1, bitorder="little").view("<u8")
+            own = np.uint64(0) - ((prints[:, limb] >> np.uint64(b)) & np.uint64(1))
+            carry = plane[word] ^ own[row]
+            for c in count:
+                both = c & carry
+                c ^= carry
+                carry = both
+            over |= carry
+            if b % 16 == 15:
+                on = over != ALL
+                if on.mean() < 0.8:
+                    alive, row, word, over, count = alive[on], row[on], word[on], over[on], [c[on] for c in count]
     out[alive] = ~over
-    return out
+    cut = np.cumsum(sizes * words)[:-1]
+    return [x.reshape(n, w) for x, n, w in zip(np.split(out, cut), sizes.tolist(), words.tolist(), strict=True)]
 
 
-def forest(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links that span the components of the prints within radius of each other: (index, index of its root)."""
-    m = len(prints)
-    if m <= 6:
-        v, root = prints.tolist(), list(range(m))
-        links = []
-        for i in range(m):
-            for j in range(i):
-                if root[i] != root[j] and (v[i] ^ v[j]).bit_count() <= radius:
-                    links.append((i, j))
-                    old, new = max(root[i], root[j]), min(root[i], root[j])
-                    root = [new if r == old else r for r in root]
-        return links
-    hit = np.vstack([near(prints[a : a + 1024], prints, radius) for a in range(0, m, 1024)])
+def forest(hit: np.ndarray) -> list[tuple[int, int]]:
+    """Links that span the components of a symmetric bit matrix: (row, root of its component)."""
+    m = len(hit)
     unseen = np.packbits(np.pad(np.ones(m, np.uint8), (0, -m % 64)), bitorder="little").view("<u8").copy()
     links = []
     for root in range(m):
-        if not (int(unseen[root // 64]) >> (root % 64)) & 1:
+        if not int(unseen[root // 64]) >> (root % 64) & 1:
             continue
         unseen[root // 64] &= ~np.uint64(1 << (root % 64))
         front = np.array([root])
@@ -133,44 +152,54 @@ def forest(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
 
 
 def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (table, key, ti, tj); a group may span batches."""
-    names = ["table", "key", "ti", "tj"]
-    held: list[np.ndarray] = []
-    last = None
+    """Rows come sorted by (table, key, ti, tj); a group may span batches, and has no fingerprint twice."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    last, ready, work = None, [], 0
 
-    def out(groups: list[np.ndarray]) -> pa.RecordBatch:
+    def out(groups: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         a, b = [], []
-        for g in groups:
-            g = np.unique(g)
-            links = forest(g.view(np.uint64), radius) if len(g) > 1 else []
-            a += [g[i] for i, _ in links]
-            b += [g[j] for _, j in links]
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        sizes = np.array([len(g[0]) for g in groups])
+        for (fp, cells), hit in zip(groups, near(np.concatenate([g[1] for g in groups]), sizes, radius), strict=True):
+            if np.bitwise_count(hit).sum() > len(hit):  # more than each row itself
+                found = np.array(forest(hit))
+                a.append(fp[found[:, 0]])
+                b.append(fp[found[:, 1]])
+        cols = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (a, b)]
+        return pa.RecordBatch.from_arrays(cols, names=["a", "b"])
+
+    def close() -> None:
+        nonlocal held, work
+        if held:
+            g = tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            held = []
+            if len(g[0]) > 1:
+                ready.append(g)
+                work += len(g[0]) * -(-len(g[0]) // 64)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = np.stack([batch.column(batch.schema.names.index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in names], axis=1)
-        fp = batch.column(batch.schema.names.index("fp")).to_numpy(zero_copy_only=False)
+        keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)], axis=1)
+        fp = batch.column(4).to_numpy(zero_copy_only=False)
+        cells = batch.column(5).flatten().to_numpy(zero_copy_only=False).reshape(len(fp), -1).view(np.uint64)
         starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(fp)]])
-        done = []
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
-            key = tuple(keys[a].tolist())
-            if key != last and held:
-                done.append(np.concatenate(held))
-                held = []
+        for i, z in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            key = tuple(keys[i].tolist())
+            if key != last:
+                close()
+                if work >= AT_ONCE:
+                    yield out(ready)
+                    ready, work = [], 0
             last = key
-            held.append(fp[a:b].copy())
-        yield out(done)
-    if held:
-        yield out([np.concatenate(held)])
+            held.append((fp[i:z], cells[i:z]))
+    close()
+    if ready:
+        yield out(ready)
 
 
-def links(prints: DataFrame, radius: int = 3) -> DataFrame:
-    """a, b: links between distinct fingerprints (column fp) that span every component of the linked ones."""
-    if radius not in (1, 3, 7):
-        raise ValueError("radius: 1, 3 or 7")
-    keyed = prints.select("fp", F.explode(bucket_keys(F.col("fp"), radius)).alias("k")).select("fp", "k.table", "k.key")
+def links(prints: DataFrame, limbs: int = 1, radius: int = 3) -> DataFrame:
+    """a, b: links between distinct fingerprints (fp, limbs) that span every component of those found linked."""
+    keyed = prints.select("fp", "limbs", F.explode(bucket_keys(F.col("limbs"), limbs, radius)).alias("k")).select("fp", "limbs", "k.table", "k.key")
     sizes = keyed.groupBy("table", "key").agg(F.count("*").alias("size")).where("size > 1")
     tiles = F.ceil(F.col("size") / F.lit(TILE // 2)).cast("int")
     own = F.pmod(F.xxhash64("fp"), tiles.cast("long")).cast("int")
@@ -180,8 +209,8 @@ def links(prints: DataFrame, radius: int = 3) -> DataFrame:
     dealt = (
         joined.withColumn("tiles", tiles)
         .withColumn("own", own)
-        .select("fp", "table", "key", F.explode(F.when(F.col("size") <= TILE, small).otherwise(large)).alias("t"))
-        .select("table", "key", F.col("t.ti").alias("ti"), F.col("t.tj").alias("tj"), "fp")
+        .select("fp", "limbs", "table", "key", F.explode(F.when(F.col("size") <= TILE, small).otherwise(large)).alias("t"))
+        .select("table", "key", F.col("t.ti").alias("ti"), F.col("t.tj").alias("tj"), "fp", "limbs")
     )
     sorted_ = dealt.repartition("table", "key", "ti", "tj").sortWithinPartitions("table", "key", "ti", "tj")
     return sorted_.mapInArrow(partial(_links, radius=radius), "a long, b long").distinct()
@@ -205,12 +234,20 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def classes(docs: DataFrame, span: int = 3, radius: int = 3) -> DataFrame:
-    """One row per document: doc_id, fp (long), fingerprint (16 hex digits), component_id (its class's smallest doc_id)."""
-    prints = stored(fingerprints(docs, span), "prints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    labels = components(links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
+def classes(docs: DataFrame, span: int = 3, limbs: int = 1, radius: int = 3) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits a limb), component_id (its class's smallest doc_id)."""
+    prints = stored(fingerprints(docs, span, limbs), "prints")
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.max("limbs").alias("limbs")) if limbs > 1 else prints.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("limbs", F.array("fp")), "nodes")
+    labels = components(links(nodes.select("fp", "limbs"), limbs, radius)).withColumnRenamed("node", "fp")
     named = nodes.join(labels, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     ids = named.groupBy("label").agg(F.min("first").alias("component_id"))
     of_print = named.join(ids, "label").select("fp", "component_id")
-    return prints.join(of_print, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    digits = F.array_join(F.transform("limbs", lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
+    return prints.join(of_print, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, **how) -> DataFrame:
+    """docs with one row of each class: that of its smallest doc_id."""
+    ids = stored(classes(docs, **how).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows")), "kept")
+    kept = docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["_kept"]), "left_semi")
+    return kept if not ids.where("_rows > 1").limit(1).count() else kept.dropDuplicates(["doc_id"])

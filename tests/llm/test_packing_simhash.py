@@ -113,10 +113,34 @@ def test_near_matches_popcount():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
     block = np.concatenate([base ^ (np.uint64(1) << np.uint64(b)) ^ np.uint64(k) for b in (0, 9, 60) for k in (0, 3, 7, 255)])
-    for radius in (1, 3, 7):
-        hit = np.unpackbits(simhash.near(block, block, radius).view(np.uint8), bitorder="little", axis=1)[:, : len(block)]
-        want = np.array([[int(a ^ b).bit_count() <= radius for b in block.tolist()] for a in block.tolist()])
-        assert (hit.astype(bool) == want).all()
+    sizes = np.array([1, 70, 129, 2, len(block) - 202])
+    for radius in (1, 3, 5, 7):
+        for g, hit in zip(np.split(block, np.cumsum(sizes)[:-1]), simhash.near(block[:, None], sizes, radius), strict=True):
+            hit = np.unpackbits(hit.view(np.uint8), bitorder="little", axis=1)[:, : len(g)]
+            want = np.array([[int(a ^ b).bit_count() <= radius for b in g.tolist()] for a in g.tolist()])
+            assert (hit.astype(bool) == want).all()
+
+
+def test_wide_fingerprints_find_near_copies(spark):
+    import random
+
+    rnd = random.Random(1)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(5000)]
+    rows, pairs = [], []
+    for i in range(120):
+        w = [rnd.choice(words) for _ in range(rnd.randint(60, 300))]
+        other = list(w)
+        for k in rnd.sample(range(len(w)), max(1, len(w) // 60)):
+            other[k] = "changed"
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(other))]
+        a, b = ({tuple(v[k : k + 5]) for k in range(len(v) - 4)} for v in (w, other))
+        if len(a & b) / len(a | b) >= 0.8:
+            pairs.append(i)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.classes(df, span=5, limbs=4, radius=48).collect()}
+    assert sum(got[2 * i + 1] == 2 * i for i in pairs) >= 0.9 * len(pairs) > 50
+    assert all(v // 2 == k // 2 for k, v in got.items())
+    assert simhash.representatives(df, span=5, limbs=4, radius=48).count() == len(set(got.values()))
 
 
 def test_links_of_large_buckets_and_chains(spark, monkeypatch):
@@ -131,7 +155,7 @@ def test_links_of_large_buckets_and_chains(spark, monkeypatch):
             prints.add(x)
     prints |= {(7 << 50) ^ (1 << a) ^ (1 << b) for a in range(40) for b in range(a)}  # one dense group
     named = {x - (1 << 64) if x >> 63 else x: x for x in prints}
-    df = spark.createDataFrame([(v,) for v in named], "fp long")
+    df = spark.createDataFrame([(v, [v]) for v in named], "fp long, limbs array<long>")
     labels = {r["node"]: r["label"] for r in simhash.components(simhash.links(df)).collect()}
     want = plain_classes(named)
     groups = defaultdict(set)
