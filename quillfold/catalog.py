@@ -1 +1,3 @@
 """Imports every module that registers queries."""
+
+from quillfold.operators import feed, records, text  # noqa: F401
