@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from quillfold.operators import feed, records, text  # noqa: F401
+from quillfold.operators import evals, feed, pipeline, records, text  # noqa: F401
