@@ -231,13 +231,31 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 PARAMS = "n long, params binary"
 
 
+def _head(counts: DataFrame) -> list[tuple[bytes, int]]:
+    """The commonest words and their counts, HEAD at most, commonest first.
+
+    A histogram of counts in fine logarithmic steps (some 4000 at most) tells from which count on words are few
+    enough, so the driver gets the head's rows and no candidates of each partition.
+    """
+    step = F.floor(F.log2("c") * 64).cast("int")
+    least, room = None, HEAD
+    for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect():
+        if r["n"] > room:
+            break
+        least, room = r["step"], room - r["n"]
+    if least is None:
+        return []
+    rows = counts.where(step >= least).collect()
+    return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
+
+
 def fit(train: DataFrame, settings: Settings | None = None) -> tuple[Model, DataFrame]:
     """The model, and the stored table of all training tokens' counts (word, c). train: one column text (binary)."""
     settings = settings or Settings()
     counts = stored(train.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    head = counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()
-    words, count = [bytes(r["word"]) for r in head], np.array([r["c"] for r in head], np.int64)
+    head = _head(counts)
+    words, count = [w for w, _ in head], np.array([c for _, c in head], np.int64)
     cls, k = np.full(len(words), OTHER), 2
     for i, w in enumerate(words):
         if w == b"":
