@@ -1,7 +1,7 @@
 """Line dedup by a log-template tree, in DataFrame functions only.
 
-A line is parsed to a leaf of fixed depth: its number of tokens, then its first LEAD tokens, tokens with a digit
-standing as a wildcard. In leaves that recur across documents, each place's commonest token is the template's if half
+A line is parsed to a leaf of fixed depth: its number of tokens (what stands between spaces), then its first LEAD
+tokens, tokens with a digit standing as a wildcard. In leaves that recur across documents, each place's commonest token is the template's if half
 of the leaf's lines have it, else the place is a variable field. A line recurs if its masked text is the masked text
 of lines of `min_docs` documents, or if it agrees with its leaf's template in `alike` of its places and lines of
 `min_docs` documents do. Recurring lines are dropped from all documents but the first (smallest doc_id) that has them.
@@ -18,28 +18,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillfold.llm.common import SPACE, SPACE_RE, stored
+from quillfold.llm.common import stored
 
 LEAD = 3
 WILD = "<*>"
-VARIABLE = r"[^ \t\n\x0B\f\r]*[0-9][^ \t\n\x0B\f\r]*"
+VARIABLE = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
 #: Rows (of 8 bytes, or of one template) up to which a side is broadcast; beyond, it is joined by shuffle.
 BROADCAST_LEAVES = 100_000
 BROADCAST_TEMPLATES = 5_000
 FIRST = -(1 << 63)
 
 
-def _tokens(line: Column) -> Column:
-    return F.split(F.btrim(F.regexp_replace(line, VARIABLE, WILD), F.lit(SPACE)), SPACE_RE)
-
-
 def parsed(docs: DataFrame, min_tokens: int) -> DataFrame:
-    """did, tokens, line (hash of the line), masked (hash of its tokens), leaf: one row per distinct long line of a document."""
+    """did, line (hash of the line), text (masked), masked (its hash), leaf: one row per distinct long line of a document.
+
+    The leaf is found without cutting the line into tokens.
+    """
     did = F.coalesce(docs["doc_id"].cast("long"), F.lit(FIRST))
     lines = docs.select(did.alias("did"), F.explode(F.array_distinct(F.split(docs["text"], "\n", -1))).alias("raw"))
-    cut = lines.select("did", F.xxhash64("raw").alias("line"), _tokens(F.col("raw")).alias("tokens")).where(F.size("tokens") >= min_tokens)
-    lead = F.slice("tokens", 1, LEAD)
-    return cut.select("did", "line", "tokens", F.xxhash64("tokens").alias("masked"), F.xxhash64(F.size("tokens"), lead).alias("leaf"))
+    plain = F.when(F.col("raw").rlike("[0-9]"), F.regexp_replace("raw", VARIABLE, WILD)).otherwise(F.col("raw"))
+    masked = lines.select("did", F.xxhash64("raw").alias("line"), F.trim(plain).alias("text"))
+    spaces = F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" ")))
+    long_ = masked.withColumn("n", spaces + 1).where(F.col("n") >= min_tokens)
+    return long_.select("did", "line", "text", F.xxhash64("text").alias("masked"), F.xxhash64("n", F.substring_index("text", " ", LEAD)).alias("leaf"))
 
 
 def _bounded(side: DataFrame, rows: int) -> DataFrame:
@@ -52,21 +53,21 @@ def recurring(docs: DataFrame, min_docs: int = 3, alike: float = 0.7, min_tokens
     narrow = stored(lines.select("did", "line", "masked", "leaf"), "lines")
     several = F.col("n") >= min_docs
     leaves = stored(narrow.select("leaf", "did").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where(several).select("leaf"), "leaves")
-    again = narrow.join(_bounded(leaves, BROADCAST_LEAVES), "leaf", "left_semi")
-    exact = again.select("masked", "did").distinct().groupBy("masked").agg(F.count("*").alias("n"), F.min("did").alias("first")).where(several)
-    by_text = again.join(exact, "masked").where(F.col("did") != F.col("first")).select("did", "line")
+    again = stored(narrow.join(_bounded(leaves, BROADCAST_LEAVES), "leaf", "left_semi"), "again")
+    exact = stored(again.select("masked", "did").distinct().groupBy("masked").agg(F.count("*").alias("n"), F.min("did").alias("first")).where(several).drop("n"), "exact")
+    by_text = again.join(_bounded(exact, BROADCAST_LEAVES), "masked").where(F.col("did") != F.col("first")).select("did", "line")
     # templates of the recurring leaves
     held = lines.join(_bounded(leaves, BROADCAST_LEAVES), "leaf", "left_semi")
-    distinct = stored(held.groupBy("leaf", "masked").agg(F.first("tokens").alias("tokens"), F.count("*").alias("n")), "templates")
+    distinct = stored(held.groupBy("leaf", "masked", "text").agg(F.count("*").alias("n")).select("leaf", "masked", "n", F.split("text", " ").alias("tokens")), "templates")
     places = distinct.select("leaf", "n", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.sum("n").alias("n"))
     commonest = places.groupBy("leaf", "at").agg(F.max(F.struct("n", F.struct(F.col("token")))).alias("top"), F.sum("n").alias("all"))
     token = F.when(2 * F.col("top.n") >= F.col("all"), F.col("top.col2.token"))
     templates = stored(commonest.select("leaf", "at", token.alias("token")).groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda p: p["token"]).alias("template")), "leaf-templates")
     same = F.size(F.filter(F.zip_with("tokens", "template", lambda a, b: a == b), lambda x: x))
-    fits = distinct.join(_bounded(templates, BROADCAST_TEMPLATES), "leaf").where(same >= alike * F.size("tokens")).select("leaf", "masked")
-    of_leaf = again.join(fits, ["leaf", "masked"])
-    shared = of_leaf.select("leaf", "did").distinct().groupBy("leaf").agg(F.count("*").alias("n"), F.min("did").alias("first")).where(several)
-    by_template = of_leaf.join(shared, "leaf").where(F.col("did") != F.col("first")).select("did", "line")
+    fits = stored(distinct.join(_bounded(templates, BROADCAST_TEMPLATES), "leaf").where(same >= alike * F.size("tokens")).select("leaf", "masked"), "fits")
+    of_leaf = again.join(_bounded(fits, BROADCAST_LEAVES), ["leaf", "masked"])
+    shared = stored(of_leaf.select("leaf", "did").distinct().groupBy("leaf").agg(F.count("*").alias("n"), F.min("did").alias("first")).where(several).drop("n"), "shared")
+    by_template = of_leaf.join(_bounded(shared, BROADCAST_LEAVES), "leaf").where(F.col("did") != F.col("first")).select("did", "line")
     return by_text.union(by_template).groupBy("did").agg(F.collect_set("line").alias("lines"))
 
 

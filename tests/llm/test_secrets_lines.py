@@ -61,7 +61,7 @@ def plain_lines(rows, min_docs=3, alike=0.7, min_tokens=5):
     lines = defaultdict(set)  # (doc, raw)
     for i, t in rows:
         for raw in (t or "").split("\n") if t is not None else []:
-            tok = tuple(re.split(r"[ \t\n\x0b\f\r]+", re.sub(r"[^ \t\n\x0b\f\r]*[0-9][^ \t\n\x0b\f\r]*", "<*>", raw).strip(" \t\n\x0b\f\r")))
+            tok = tuple(re.sub(r"[^ ]*[0-9][^ ]*", "<*>", raw).strip(" ").split(" "))
             if len(tok) >= min_tokens:
                 lines[(-1 if i is None else i, raw)] = tok
     leaf_docs, text_docs, leaf_lines = defaultdict(set), defaultdict(set), defaultdict(Counter)
