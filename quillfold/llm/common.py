@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -29,6 +30,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df written once as Parquet in the shared folder and read back: cuts lineage, and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/quillfold-{name}-{os.getpid()}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # shuffle files of finished jobs go once the driver's JVM has collected their handles; a long chain of tables
+    # would else keep all of them on the executors' disks
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

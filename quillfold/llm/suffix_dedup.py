@@ -10,7 +10,10 @@ not unique goes on, until the offset passes the threshold of `length` bytes:
    35. Round one sorts anchors by (rank of GRAM bytes, rank of the whole surroundings). Anchors whose GRAM bytes
    are unique are done. Of anchors with the same surroundings all but the first are repeats, with every string around
    them. The first of each surroundings goes on if its GRAM bytes have other surroundings too.
-2. For the strings at those anchors, ranks of `length` bytes are sorted; all but the first of a rank are repeats.
+2. Every string through an anchor holds the anchor's GRAM bytes with the half surroundings on their left or on their
+   right. Both halves are ranked and sorted as in round one: unique ones are done, repeats of all that a half's strings
+   hold together are repeats.
+3. For the strings at the other halves, ranks of `length` bytes are sorted; all but the first of a rank are repeats.
 
 Within a block of text, repeats of an earlier row of the block are marked at once, so that a passage shared by any
 share of all documents reaches a round's sort as one row a block.
@@ -115,14 +118,12 @@ class Buffer:
     def position(self) -> np.ndarray:
         return self.anchor + self.shift
 
-    def surroundings(self) -> np.ndarray:
-        """The rank of all that strings through an anchor can hold, with how far that is cut off by the text's ends."""
+    def span(self, before: int, after: int) -> np.ndarray:
+        """The rank of the bytes from `before` before each anchor to `after` after it, with how far the text's ends cut it."""
         pos = self.position()
-        left = np.minimum(self.reach, pos)
-        right = np.minimum(self.length, self.size - pos)
+        left, right = np.minimum(before, pos), np.minimum(after, self.size - pos)
         lo, hi = self.anchor - left, self.anchor + right - GRAM
-        steps = [*range(-self.reach, self.reach, GRAM), self.reach]
-        out = _spread(self.h, [np.clip(self.anchor + o, lo, hi) for o in steps])
+        out = _spread(self.h, [np.clip(self.anchor + o, lo, hi) for o in (*range(-before, after - GRAM, GRAM), after - GRAM)])
         return _pair(out, (left * 1000 + right).astype(np.uint64))
 
     def strings(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -211,35 +212,49 @@ def _covered(doc, th, a, z) -> pa.RecordBatch:
     return _rows(_scatter(doc, a), z, doc, th, a, COVERED)
 
 
+def _around(pos: np.ndarray, length: int, halved: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The interval of all strings through an anchor; halved: of those in its left or right half (see _halves)."""
+    reach = length - GRAM
+    if not halved:
+        return np.maximum(0, pos - reach), pos + length
+    p, right, half = pos // 2, pos % 2 == 1, reach // 2
+    return np.maximum(0, p - np.where(right, half, reach)), p + length - np.where(right, 0, half)
+
+
+def _kept(key, second, doc, th, pos) -> Iterator[pa.RecordBatch]:
+    """Rows with a key of their own in the block go on; of others all are asked for, and a marker tells of them."""
+    change = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+    many = np.bincount(np.cumsum(change) - 1)[np.cumsum(change) - 1] > 1 if len(key) else change
+    yield _rows(key[~many], second[~many], doc[~many], th[~many], pos[~many], ANCHOR)
+    mark = many & change
+    none = np.zeros(mark.sum())
+    yield _rows(key[mark], np.full(mark.sum(), FIRST), np.full(mark.sum(), FIRST), none, none, MARKER)
+    yield _rows(_scatter(doc[many], pos[many]), second[many], doc[many], th[many], pos[many], ASK)
+
+
 def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Rows of round one: anchors, markers, anchors to be asked for in round two, covered intervals (pos to second)."""
     block, reach = Block(), length - GRAM
 
     def out():
-        (h, ctx, doc, th, pos), new, equal = block.drain()
+        cols, new, equal = block.drain()
+        _, _, doc, th, pos = cols
         again = ~new & ~equal
-        yield _covered(doc[again], th[again], np.maximum(0, pos[again] - reach), pos[again] + length)
-        h, ctx, doc, th, pos = (c[new] for c in (h, ctx, doc, th, pos))
-        change = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
-        many = np.bincount(np.cumsum(change) - 1)[np.cumsum(change) - 1] > 1 if len(h) else change
-        yield _rows(h[~many], ctx[~many], doc[~many], th[~many], pos[~many], ANCHOR)
-        mark = many & change
-        yield _rows(h[mark], np.full(mark.sum(), FIRST), np.full(mark.sum(), FIRST), np.zeros(mark.sum()), np.zeros(mark.sum()), MARKER)
-        yield _rows(_scatter(doc[many], pos[many]), ctx[many], doc[many], th[many], pos[many], ASK)
+        yield _covered(doc[again], th[again], *_around(pos[again], length, False))
+        yield from _kept(*(c[new] for c in cols))
 
     for batch in batches:
         docs, ths = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
         for buffer in _buffers(iter(batch.column(2).to_pylist()), length):
-            block.add(buffer.h[buffer.anchor], buffer.surroundings(), docs[buffer.text], ths[buffer.text], buffer.position())
+            block.add(buffer.h[buffer.anchor], buffer.span(reach, length), docs[buffer.text], ths[buffer.text], buffer.position())
             if block.n >= HELD:
                 yield from out()
     if block.n:
         yield from out()
 
 
-def _resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _resolve(batches: Iterator[pa.RecordBatch], length: int, halved: bool) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by key, second, doc, th, pos. Out: intervals covered and anchors to ask for (kind)."""
-    reach = length - GRAM
     last = None  # key, second, doc, th, pos of the last row
     seen, held = 0, None  # surroundings seen of the last key; the first of them if it is not settled
 
@@ -261,7 +276,7 @@ def _resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         new = new_key | (second != before[1])
         equal = ~new & (doc == before[2]) & (th == before[3]) & (pos == before[4])
         again = ~new & ~equal
-        yield _covered(doc[again], th[again], np.maximum(0, pos[again] - reach), pos[again] + length)
+        yield _covered(doc[again], th[again], *_around(pos[again], length, halved))
         run = np.cumsum(new_key)  # 0: goes on from the last batch
         kinds = np.bincount(run, new * np.where(kind == MARKER, 2, 1), run[-1] + 1).astype(np.int64)
         kinds[0] += seen
@@ -281,11 +296,55 @@ def _resolve(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         last = tuple(c[-1] for c in (key, second, doc, th, pos))
 
 
-def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Rows of round two from texts with their asked anchors; repeats within a block are covered at once."""
+def _asked(batches: Iterator[pa.RecordBatch], length: int):
+    """Buffers of texts (doc, th, text, asked) with the asked numbers, halved to positions, that are there for each anchor."""
     import zstandard
 
-    block, unpack = Block(), zstandard.ZstdDecompressor()
+    unpack = zstandard.ZstdDecompressor()
+    for batch in batches:
+        docs, ths = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        asked = [np.asarray(x, np.int64) for x in batch.column(3).to_pylist()]
+        texts = (unpack.decompress(x) if x else b"" for x in batch.column(2).to_pylist())
+        for buffer in _buffers(texts, length):
+            pos = 2 * buffer.position()
+            starts = np.flatnonzero(np.concatenate([[True], buffer.text[1:] != buffer.text[:-1]])) if len(pos) else np.zeros(0, np.int64)
+            left, right = np.zeros(len(pos), bool), np.zeros(len(pos), bool)
+            for i, z in zip(starts.tolist(), [*starts[1:].tolist(), len(pos)], strict=True):
+                left[i:z] = np.isin(pos[i:z], asked[buffer.text[i]])
+                right[i:z] = np.isin(pos[i:z] + 1, asked[buffer.text[i]])
+            yield buffer, left, right, docs[buffer.text], ths[buffer.text]
+
+
+def _halves(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Rows of round two: both halves of each asked anchor; pos is twice the anchor's, and one more for the right half.
+
+    key: the rank of the half's core, which all its strings hold; second: the rank of all that they hold together.
+    """
+    block, reach = Block(), length - GRAM
+    half = reach // 2
+
+    def out():
+        cols, new, equal = block.drain()
+        _, _, doc, th, pos = cols
+        again = ~new & ~equal
+        yield _covered(doc[again], th[again], *_around(pos[again], length, True))
+        yield from _kept(*(c[new] for c in cols))
+
+    for buffer, asked, _, doc, th in _asked(batches, length):
+        pos = buffer.position()
+        for side, fits, core, whole in ((0, pos >= half, (half, GRAM), (reach, length - half)), (1, pos + length - half <= buffer.size, (0, length - half), (half, length))):
+            on = asked & fits
+            key = _pair(buffer.span(*core), np.full(len(pos), side, np.uint64))
+            block.add(key[on], buffer.span(*whole)[on], doc[on], th[on], 2 * pos[on] + side)
+        if block.n >= HELD:
+            yield from out()
+    if block.n:
+        yield from out()
+
+
+def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Rows of round three: the strings at the asked halves; repeats within a block are covered at once."""
+    block, half = Block(), (length - GRAM) // 2
 
     def out():
         (a, b, doc, th, pos), new, equal = block.drain()
@@ -293,19 +352,14 @@ def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         yield _covered(doc[again], th[again], pos[again], pos[again] + length)
         yield _rows(a[new], b[new], doc[new], th[new], pos[new], ANCHOR)
 
-    for batch in batches:
-        docs, ths = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-        asked = [np.asarray(x, np.int64) for x in batch.column(3).to_pylist()]
-        texts = (unpack.decompress(x) if x else b"" for x in batch.column(2).to_pylist())
-        for buffer in _buffers(texts, length):
-            wanted = np.zeros(len(buffer.anchor), bool)
-            pos, starts = buffer.position(), np.flatnonzero(np.concatenate([[True], buffer.text[1:] != buffer.text[:-1]]))
-            for i, z in zip(starts.tolist(), [*starts[1:].tolist(), len(pos)], strict=True):
-                wanted[i:z] = np.isin(pos[i:z], asked[buffer.text[i]])
-            which, start, one, two = buffer.strings(np.flatnonzero(wanted))
-            block.add(one, two, docs[buffer.text[which]], ths[buffer.text[which]], start)
-            if block.n >= HELD:
-                yield from out()
+    for buffer, left, right, doc, th in _asked(batches, length):
+        which, start, one, two = buffer.strings(np.flatnonzero(left | right))
+        before = buffer.position()[which] - start
+        on = (left[which] & (before >= half)) | (right[which] & (before <= half))
+        which, start = which[on], start[on]
+        block.add(one[on], two[on], doc[which], th[which], start)
+        if block.n >= HELD:
+            yield from out()
     if block.n:
         yield from out()
 
@@ -382,12 +436,17 @@ def dedup(docs: DataFrame, length: int = 100, texts: bool = False) -> DataFrame:
     read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), doc.alias("doc"), th.alias("th"), text_of(docs).cast("binary").alias("text"))
     order = ["key", "second", "doc", "th", "pos"]
     one = read.select("doc", "th", "text").mapInArrow(partial(_anchors, length=length), ROW)
-    first = stored(one.repartition("key").sortWithinPartitions(*order).mapInArrow(partial(_resolve, length=length), ROW), "anchors")
+    first = stored(one.repartition("key").sortWithinPartitions(*order).mapInArrow(partial(_resolve, length=length, halved=False), ROW), "anchors")
     packed = read.select("doc", "th", "text").mapInArrow(_zip, "doc long, th long, text binary")
-    asked = first.where(F.col("kind") == ASK).groupBy("doc", "th").agg(F.collect_set("pos").alias("asked"))
-    two = packed.join(asked, ["doc", "th"]).mapInArrow(partial(_strings, length=length), ROW)
-    second = stored(two.repartition("key").sortWithinPartitions(*order).mapInArrow(partial(_repeats, length=length), ROW), "strings")
-    cuts = first.where(F.col("kind") == COVERED).select("doc", "th", "pos", "second").union(second.select("doc", "th", "pos", "second"))
+
+    def with_asked(found: DataFrame, number) -> DataFrame:
+        return packed.join(found.where(F.col("kind") == ASK).groupBy("doc", "th").agg(F.collect_set(number).alias("asked")), ["doc", "th"])
+
+    two = with_asked(first, F.col("pos") * 2).mapInArrow(partial(_halves, length=length), ROW)
+    second = stored(two.repartition("key").sortWithinPartitions(*order).mapInArrow(partial(_resolve, length=length, halved=True), ROW), "halves")
+    three = with_asked(second, F.col("pos")).mapInArrow(partial(_strings, length=length), ROW)
+    third = stored(three.repartition("key").sortWithinPartitions(*order).mapInArrow(partial(_repeats, length=length), ROW), "strings")
+    cuts = first.union(second).where(F.col("kind") == COVERED).union(third).select("doc", "th", "pos", "second")
     by_doc = cuts.groupBy("doc", "th").agg(F.collect_list(F.struct("pos", "second")).alias("cuts"))
     full = read.mapInArrow(_zip, "doc_id long, doc long, th long, text binary")
     if unique:
