@@ -77,4 +77,35 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op10_quality_rules": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents
+        ), w AS (
+            SELECT rid, doc_id, source, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+                   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+            FROM d
+        ), g AS (
+            SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM w)
+        ), again AS (
+            SELECT rid, i FROM g QUALIFY count(*) OVER (PARTITION BY rid, gram) > 1
+        ), hit AS (
+            SELECT rid, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid
+        ), rules AS (
+            SELECT w.rid, doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+                   CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(hit.n, 0) AS n_repeat_words
+            FROM w LEFT JOIN hit ON hit.rid = w.rid
+        ), judged AS (
+            SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM rules
+        ), hosts AS (
+            SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS f FROM judged GROUP BY source
+        ), moments AS (
+            SELECT sum(f) / sum(n) AS mean, sum((f / n) * (f / n) * n) / sum(n) AS square FROM hosts
+        ), prior AS (
+            SELECT mean, greatest(1.0, least(1000.0, coalesce(mean * (1 - mean) / nullif(square - mean * mean, 0) - 1, 1000.0))) AS strength FROM moments
+        ), verdicts AS (
+            SELECT source, (f + mean * strength) / (n + strength) <= 0.8 AS host_kept FROM hosts, prior
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND host_kept AS kept
+        FROM judged JOIN verdicts ON verdicts.source IS NOT DISTINCT FROM judged.source
+    """,
 }
