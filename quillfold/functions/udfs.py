@@ -52,7 +52,7 @@ def styled_capitals(text: str | None) -> list[str] | None:
 
 
 def code_lines(glyphs: list[dict]) -> str:
-    """Text of a code box from glyphs (x, y, w, h, c): rows by centre, indents and gaps in units of the median advance."""
+    """Text of a code box from glyphs (x, y, w, h, c): rows by centre, indents and gaps in units of the advance."""
     rows: list[list[dict]] = []
     for g in sorted(glyphs, key=lambda g: (g["y"] + g["h"] / 2, g["x"])):
         if rows:
@@ -64,7 +64,9 @@ def code_lines(glyphs: list[dict]) -> str:
     for r in rows:
         r.sort(key=lambda g: g["x"])
     steps = sorted(b["x"] - a["x"] for r in rows for a, b in zip(r, r[1:], strict=False) if b["x"] > a["x"])
-    unit = steps[len(steps) // 2] if steps else (glyphs[0]["w"] if glyphs else 1.0)
+    widths = sorted(g["w"] for g in glyphs if g["w"] > 0)
+    # the advance of a fixed pitch: no glyph is wider, and gaps only add to steps
+    unit = min([*widths[len(widths) // 2 :][:1], *steps[len(steps) // 2 :][:1]], default=1.0)
     left = min((r[0]["x"] for r in rows), default=0.0)
     out = []
     for r in rows:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -64,19 +66,18 @@ def with_custody(files: DataFrame) -> DataFrame:
 def put_once(spark: SparkSession, store: str, rows: DataFrame, key: str, order: str) -> DataFrame:
     """Append rows whose key the store does not hold, the first by `order` of each key; returns what was created.
 
-    One writer at a time: without a transaction log two jobs could both append a key.
+    Each put is a folder of the store, so it is there as a whole or not at all once its job has ended. One writer at a
+    time: without a transaction log two jobs could both append a key.
     """
     first = rows.groupBy(key).agg(F.min_by(F.struct(*rows.columns), order).alias("r")).select("r.*")
     try:
-        held = spark.read.schema(rows.schema).parquet(store).select(key)
-        new = first.join(held, key, "left_anti")
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+        first = first.join(spark.read.schema(rows.schema).parquet(store).select(key), key, "left_anti")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        new = first
-    new = new.select(*rows.columns).persist()
-    new.write.mode("append").parquet(store)
-    return new
+    put = f"{store}/put={uuid.uuid4().hex}"
+    first.select(*rows.columns).write.parquet(put)
+    return spark.read.schema(rows.schema).parquet(put)
 
 
 def read_registered(store: DataFrame, wanted: DataFrame, key: str = "key") -> DataFrame:
