@@ -86,7 +86,7 @@ class Model:
     usual: np.ndarray | None = None
     spread: np.ndarray | None = None
     #: how much more margin a text of few words gets
-    strictness: float = 4.0
+    leniency: float = 4.0
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         points, starts = _windows(words)
@@ -272,8 +272,8 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model, text_at: int, name
             share = np.power(10.0, near * (np.minimum(chars, 30) / chars)[:, None])
             best[rows], score[rows] = top, 1 / share.sum(axis=1)
             ce[rows] = -total[np.arange(len(rows)), top] / chars
-            many = np.minimum(np.array([len(w) for w in words]), 400)
-            rejected[rows] = ce[rows] > model.usual[top] + model.spread[top] * (1 + model.strictness / np.sqrt(many))
+            many = np.clip(chars / 5, 1, 400)  # words, about
+            rejected[rows] = ce[rows] > model.usual[top] + model.spread[top] * (1 + model.leniency / np.sqrt(many))
         made = [pa.array(labels[best], pa.string()), pa.array(score), pa.array(ce, from_pandas=True), pa.array(rejected)]
         yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *made], names=[*names, "lang_pred", "score", "cross_entropy", "rejected"])
 

@@ -51,7 +51,7 @@ def test_stages_act_on_what_they_are_for(spark):
 
 
 def test_every_stage_takes_an_empty_table(spark):
-    _, df, _ = corpus(spark, 20)
+    _, df, _ = corpus(spark)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, df.limit(0), "").count() == 0
 
