@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillfold.functions.scores import nearest_rank, platt, wilson
+from quillfold.functions.scores import platt, wilson
 from quillfold.registry import query
 from quillfold.sources.tables import load
 
@@ -223,9 +223,16 @@ def question_selection(spark: SparkSession, d: str) -> DataFrame:
 
 @query("nearest_ranks", "WITH v AS (SELECT event_type, list_sort(list(value)) AS xs, count(*) AS n FROM events GROUP BY 1) SELECT event_type, xs[least(n - 1, CAST(floor(0.99 * n) AS BIGINT)) + 1] AS by_index, xs[CAST(ceil(0.95 * n) AS BIGINT)] AS by_ceil, xs[greatest(0, CAST(floor(0.99 * n) AS BIGINT) - 1) + 1] AS before, xs[n // 2 + 1] AS upper_median, round(quantile_cont(v, 0.95), 8) AS interpolated FROM v JOIN (SELECT event_type, list(value) AS l, NULL AS z FROM events GROUP BY 1) USING (event_type), LATERAL (SELECT unnest(l) AS v) GROUP BY ALL")
 def nearest_ranks(spark: SparkSession, d: str) -> DataFrame:
-    """Five percentile conventions, side by side: they differ by a place or interpolate."""
-    v = F.collect_list("value")
-    return load(spark, d, "events").groupBy("event_type").agg(nearest_rank(v, 0.99, "index").alias("by_index"), nearest_rank(v, 0.95, "ceil").alias("by_ceil"), nearest_rank(v, 0.99, "before").alias("before"), nearest_rank(v, 0.5, "upper").alias("upper_median"), F.round(F.percentile("value", F.lit(0.95)), 8).alias("interpolated"))
+    """Five percentile conventions, side by side: they differ by a place or interpolate.
+
+    Places are told by a sorted numbering that spills, not from arrays of all values.
+    """
+    e = load(spark, d, "events").select("event_type", "value")
+    n = e.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.percentile("value", F.lit(0.95)), 8).alias("interpolated"))
+    k = e.withColumn("k", F.row_number().over(Window.partitionBy("event_type").orderBy("value")) - 1).join(n, "event_type")
+    size = F.col("n")
+    places = {"by_index": F.least(size - 1, F.floor(0.99 * size)), "by_ceil": F.ceil(0.95 * size) - 1, "before": F.greatest(F.lit(0), F.floor(0.99 * size) - 1), "upper_median": F.floor(size / 2)}
+    return k.groupBy("event_type").agg(*[F.max(F.when(F.col("k") == at, F.col("value"))).alias(name) for name, at in places.items()], F.max("interpolated").alias("interpolated"))
 
 
 @query("distributions", "SELECT user_id % 5 AS variant, 'value' AS metric, count(*) AS n, round(median(value), 8) AS median, min(value) AS least, max(value) AS most FROM events GROUP BY 1 UNION ALL SELECT user_id % 5, 'k', count(*), median(CAST(json_extract(props, '$.k') AS DOUBLE)), min(CAST(json_extract(props, '$.k') AS DOUBLE)), max(CAST(json_extract(props, '$.k') AS DOUBLE)) FROM events GROUP BY 1")
@@ -255,10 +262,10 @@ def max_overlap(spark: SparkSession, d: str) -> DataFrame:
     return x.select("user_id", n.alias("n")).groupBy("user_id").agg(F.max("n").alias("most"))
 
 
-@query("pairwise_overlap", "WITH x AS (SELECT l_orderkey AS k, l_linenumber AS n, min(l_quantity) AS a, max(l_quantity) + l_linenumber AS z FROM lineitem WHERE l_orderkey < 2000 GROUP BY 1, 2) SELECT a.k, a.n AS first, b.n AS second, least(a.z, b.z) - greatest(a.a, b.a) AS overlap FROM x a JOIN x b ON a.k = b.k AND a.n < b.n")
+@query("pairwise_overlap", "WITH x AS (SELECT l_orderkey AS k, l_linenumber AS n, min(l_quantity) AS a, max(l_quantity) + l_linenumber AS z FROM lineitem GROUP BY 1, 2) SELECT a.k, a.n AS first, b.n AS second, least(a.z, b.z) - greatest(a.a, b.a) AS overlap FROM x a JOIN x b ON a.k = b.k AND a.n < b.n")
 def pairwise_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Seconds that each two spans of a run share; negative for a gap. A run has a handful of spans."""
-    x = load(spark, d, "lineitem").where("l_orderkey < 2000").groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n")).agg(F.min("l_quantity").alias("a"), (F.max("l_quantity") + F.first("l_linenumber")).alias("z"))
+    x = load(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n")).agg(F.min("l_quantity").alias("a"), (F.max("l_quantity") + F.first("l_linenumber")).alias("z"))
     b = x.select("k", F.col("n").alias("second"), F.col("a").alias("ba"), F.col("z").alias("bz"))
     return x.withColumnRenamed("n", "first").join(b, "k").where("first < second").select("k", "first", "second", (F.least("z", "bz") - F.greatest("a", "ba")).alias("overlap"))
 
@@ -301,10 +308,10 @@ def tier_rollup(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "events").join(F.broadcast(tiers), "event_type").groupBy("tier").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 50).alias("caught"))
 
 
-@query("character_error", "WITH c AS (SELECT conv_id, turn, substr(regexp_replace(text, '[^ -~]', '', 'g'), 1, 60) AS x FROM conversations) SELECT a.conv_id, a.turn, levenshtein(a.x, b.x) AS edits, round(levenshtein(a.x, b.x) / greatest(1, length(b.x)), 8) AS cer FROM c a JOIN c b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1")
+@query("character_error", "WITH c AS (SELECT conv_id, turn, regexp_replace(text, '[^ -~]', '', 'g') AS x FROM conversations) SELECT a.conv_id, a.turn, levenshtein(a.x, b.x) AS edits, round(levenshtein(a.x, b.x) / greatest(1, length(b.x)), 8) AS cer FROM c a JOIN c b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1")
 def character_error(spark: SparkSession, d: str) -> DataFrame:
-    """Edits between an answer and its reference; both are fields of 60 characters here."""
-    c = load(spark, d, "conversations").select("conv_id", "turn", F.substring(F.regexp_replace("text", "[^ -~]", ""), 1, 60).alias("x"))
+    """Edits between an answer and its reference."""
+    c = load(spark, d, "conversations").select("conv_id", "turn", F.regexp_replace("text", "[^ -~]", "").alias("x"))
     b = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("x").alias("ref"))
     e = F.levenshtein("x", "ref").cast("long")
     return c.join(b, ["conv_id", "turn"]).select("conv_id", "turn", e.alias("edits"), F.round(e / F.greatest(F.lit(1), F.length("ref")), 8).alias("cer"))
@@ -365,11 +372,11 @@ def balanced_packs(spark: SparkSession, d: str) -> DataFrame:
     return f.select(F.array_join("r.out", ",").alias("packs"), F.array_max("r.load").alias("heaviest"))
 
 
-@query("blind_letters", "SELECT doc_id, source, chr(CAST(64 + row_number() OVER (PARTITION BY source ORDER BY sha256('round-1|' || doc_id)) AS INTEGER)) AS letter FROM documents WHERE doc_id % 5 = 0")
+@query("blind_letters", "SELECT conv_id, turn, chr(CAST(64 + row_number() OVER (PARTITION BY conv_id ORDER BY sha256('round-1|' || conv_id || '|' || turn)) AS INTEGER)) AS letter FROM conversations")
 def blind_letters(spark: SparkSession, d: str) -> DataFrame:
-    """Letters in an order that a label and a hash fix."""
-    k = F.row_number().over(Window.partitionBy("source").orderBy(F.sha2(F.concat(F.lit("round-1|"), F.col("doc_id").cast("string")), 256)))
-    return load(spark, d, "documents").where("doc_id % 5 = 0").select("doc_id", "source", F.char(64 + k).alias("letter"))
+    """Letters for a case's answers in an order that a label and a hash fix."""
+    key = F.sha2(F.concat(F.lit("round-1|"), F.col("conv_id").cast("string"), F.lit("|"), F.col("turn").cast("string")), 256)
+    return load(spark, d, "conversations").select("conv_id", "turn", F.char(64 + F.row_number().over(Window.partitionBy("conv_id").orderBy(key))).alias("letter"))
 
 
 @query("decoy_sample", f"WITH {SCORES_SQL}, c AS (SELECT doc_id, category FROM s WHERE y = 1), n AS (SELECT category, count(*) AS n FROM c GROUP BY 1), d AS (SELECT s.doc_id, s.category, row_number() OVER (PARTITION BY s.category ORDER BY sha256('decoy|' || s.doc_id)) AS k FROM s WHERE y = 0) SELECT doc_id, category, 'candidate' AS kind FROM c UNION ALL SELECT d.doc_id, d.category, 'decoy' FROM d JOIN n USING (category) WHERE k <= n")
@@ -403,11 +410,11 @@ def inventory_before_after(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, "target", "full").select("target", F.when(F.col("b").isNull(), "removed").when(F.col("a").isNull(), "added").when(F.col("a") == F.col("b"), "same").otherwise("changed").alias("what"))
 
 
-@query("started_samples", "SELECT user_id % 10 AS worker, event_type AS sample, count(*) AS started FROM events GROUP BY 1, 2")
+@query("started_samples", "SELECT lang, least(9, length(line) // 50) AS worker, count(*) AS started FROM (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1, 2")
 def started_samples(spark: SparkSession, d: str) -> DataFrame:
-    """Counts by worker from samples of arrays."""
-    a = load(spark, d, "events").groupBy("event_type").agg(F.collect_list(F.struct((F.col("user_id") % 10).alias("worker"))).alias("tasks"))
-    return a.select(F.col("event_type").alias("sample"), F.explode("tasks").alias("t")).groupBy(F.col("t.worker").alias("worker"), "sample").agg(F.count("*").alias("started"))
+    """Counts by worker from samples that are arrays (here: lines by length)."""
+    x = load(spark, d, "documents").select("lang", F.explode(F.split("text", "\n", -1)).alias("line"))
+    return x.groupBy("lang", F.least(F.lit(9).cast("long"), F.floor(F.length("line") / 50)).alias("worker")).agg(F.count("*").alias("started"))
 
 
 @query("rows_validator", f"WITH {SCORES_SQL}, v AS (SELECT doc_id, p > 0.95 AS r1, category NOT IN ('en', 'fr', 'de') AS r2 FROM s) SELECT doc_id, 'p_range' AS violation FROM v WHERE r1 UNION ALL SELECT doc_id, 'category' FROM v WHERE r2")

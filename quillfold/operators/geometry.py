@@ -10,13 +10,13 @@ from quillfold.functions.codecs import html_escaped
 from quillfold.registry import query
 from quillfold.sources.tables import load
 
-BOXES_SQL = """b AS (SELECT l_orderkey AS page, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS box, l_quantity AS l, CAST(l_linenumber * 10 AS DOUBLE) AS t, l_quantity + 12 AS r, CAST(l_linenumber * 10 + 14 AS DOUBLE) AS bt FROM lineitem WHERE l_orderkey < 4000)"""
+BOXES_SQL = """b AS (SELECT l_orderkey AS page, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS box, l_quantity AS l, CAST(l_linenumber * 10 AS DOUBLE) AS t, l_quantity + 12 AS r, CAST(l_linenumber * 10 + 14 AS DOUBLE) AS bt FROM lineitem)"""
 IOU_SQL = "greatest(0, least(x.r, y.r) - greatest(x.l, y.l)) * greatest(0, least(x.bt, y.bt) - greatest(x.t, y.t))"
 
 
 def boxes(spark: SparkSession, d: str) -> DataFrame:
     """Boxes of pages: page, box, l, t, r, bt (top-left origin)."""
-    li = load(spark, d, "lineitem").where("l_orderkey < 4000")
+    li = load(spark, d, "lineitem")
     k = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity"))
     n = F.col("l_linenumber").cast("double")
     return li.select(F.col("l_orderkey").alias("page"), k.cast("long").alias("box"), F.col("l_quantity").alias("l"), (n * 10).alias("t"), (F.col("l_quantity") + 12).alias("r"), (n * 10 + 14).alias("bt"))
@@ -144,20 +144,20 @@ def renumbered_refs(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "documents").where("n_chars > 500").select("doc_id", F.concat(F.lit("#/texts/"), F.col("doc_id").cast("string")).alias("old_ref"), F.concat(F.lit("#/texts/"), k.cast("string")).alias("new_ref"))
 
 
-TREE_SQL = "WITH RECURSIVE n AS (SELECT p_partkey AS id, p_partkey // 3 AS parent FROM part WHERE p_partkey BETWEEN 1 AND 400), t AS (SELECT id, printf('%06d', id) AS path, 0 AS depth FROM n WHERE id = 1 UNION ALL SELECT n.id, t.path || '/' || printf('%06d', n.id), t.depth + 1 FROM n JOIN t ON n.parent = t.id WHERE n.id <> t.id)"
+TREE_SQL = "WITH RECURSIVE n AS (SELECT p_partkey AS id, p_partkey // 3 AS parent FROM part), t AS (SELECT id, id AS root, printf('%012d', id) AS path, 0 AS depth FROM n WHERE parent = 0 UNION ALL SELECT n.id, t.root, t.path || '/' || printf('%012d', n.id), t.depth + 1 FROM n JOIN t ON n.parent = t.id WHERE n.parent > 0)"
 
 
-@query("reading_order", TREE_SQL + " SELECT id, CAST(depth AS INTEGER) AS depth, row_number() OVER (ORDER BY path) AS ordinal FROM t")
+@query("reading_order", TREE_SQL + " SELECT root, id, CAST(depth AS INTEGER) AS depth, row_number() OVER (PARTITION BY root ORDER BY path) AS ordinal FROM t")
 def reading_order(spark: SparkSession, d: str) -> DataFrame:
-    """Depth-first order of a tree: a recursive walk carries each node's path, and paths sort as the walk goes."""
+    """Depth-first order of each tree: a recursive walk carries each node's path, and paths sort as the walk goes."""
     load(spark, d, "part").createOrReplaceTempView("_tree_part")
     t = spark.sql(
-        """WITH RECURSIVE n AS (SELECT p_partkey AS id, p_partkey div 3 AS parent FROM _tree_part WHERE p_partkey BETWEEN 1 AND 400),
-        t(id, path, depth) AS (SELECT id, lpad(cast(id AS string), 6, '0'), 0 FROM n WHERE id = 1
-          UNION ALL SELECT n.id, concat(t.path, '/', lpad(cast(n.id AS string), 6, '0')), t.depth + 1 FROM n JOIN t ON n.parent = t.id WHERE n.id <> t.id)
+        """WITH RECURSIVE n AS (SELECT p_partkey AS id, p_partkey div 3 AS parent FROM _tree_part),
+        t(id, root, path, depth) AS (SELECT id, id, lpad(cast(id AS string), 12, '0'), 0 FROM n WHERE parent = 0
+          UNION ALL SELECT n.id, t.root, concat(t.path, '/', lpad(cast(n.id AS string), 12, '0')), t.depth + 1 FROM n JOIN t ON n.parent = t.id WHERE n.parent > 0)
         SELECT * FROM t"""
     )
-    return t.select("id", "depth", F.row_number().over(Window.orderBy("path")).cast("long").alias("ordinal"))
+    return t.select("root", "id", "depth", F.row_number().over(Window.partitionBy("root").orderBy("path")).cast("long").alias("ordinal"))
 
 
 @query("provenance_split", "SELECT conv_id, turn, list_transform(range(1, 4), lambda k: substr(text, CAST(length(text) - 20 * k + 1 AS BIGINT), 20))[1] AS last_part, substr(text, 1, length(text) - 60) AS rest FROM conversations WHERE length(text) > 70")
@@ -178,10 +178,10 @@ def box_pixels(spark: SparkSession, d: str) -> DataFrame:
     return boxes(spark, d).select("page", "box", px(F.greatest(F.lit(0.0), "l")).alias("x0"), px(F.greatest(F.lit(0.0), 100 - F.col("bt"))).alias("y0"), px(F.least(F.lit(60.0), "r")).alias("x1"), px(F.least(F.lit(100.0), 100 - F.col("t"))).alias("y1"))
 
 
-@query("table_html", "WITH c AS (SELECT s_nationkey AS tbl, s_suppkey % 5 AS row, s_suppkey AS col, s_name AS text FROM supplier), r AS (SELECT tbl, row, '<tr>' || string_agg('<td>' || text || '</td>', '' ORDER BY col) || '</tr>' AS h, count(*) AS n FROM c GROUP BY 1, 2) SELECT tbl, count(*) AS num_rows, max(n) AS num_cols, '<table>' || string_agg(h, '' ORDER BY row) || '</table>' AS html FROM r GROUP BY 1")
+@query("table_html", "WITH c AS (SELECT s_suppkey // 20 AS tbl, s_suppkey % 20 // 5 AS row, s_suppkey AS col, s_name AS text FROM supplier), r AS (SELECT tbl, row, '<tr>' || string_agg('<td>' || text || '</td>', '' ORDER BY col) || '</tr>' AS h, count(*) AS n FROM c GROUP BY 1, 2) SELECT tbl, count(*) AS num_rows, max(n) AS num_cols, '<table>' || string_agg(h, '' ORDER BY row) || '</table>' AS html FROM r GROUP BY 1")
 def table_html(spark: SparkSession, d: str) -> DataFrame:
     cell = F.concat(F.lit("<td>"), html_escaped(F.col("s_name")), F.lit("</td>"))
-    c = load(spark, d, "supplier").select(F.col("s_nationkey").alias("tbl"), (F.col("s_suppkey") % 5).alias("row"), F.col("s_suppkey").alias("col"), cell.alias("h"))
+    c = load(spark, d, "supplier").select(F.floor(F.col("s_suppkey") / 20).alias("tbl"), F.floor(F.col("s_suppkey") % 20 / 5).alias("row"), F.col("s_suppkey").alias("col"), cell.alias("h"))
     r = c.groupBy("tbl", "row").agg(F.array_sort(F.collect_list(F.struct("col", "h"))).alias("cells"))
     line = F.concat(F.lit("<tr>"), F.array_join(F.transform("cells", lambda x: x["h"]), ""), F.lit("</tr>"))
     t = r.select("tbl", "row", line.alias("h"), F.size("cells").cast("long").alias("n")).groupBy("tbl").agg(F.count("*").alias("num_rows"), F.max("n").alias("num_cols"), F.array_sort(F.collect_list(F.struct("row", "h"))).alias("rows"))

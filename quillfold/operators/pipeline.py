@@ -185,19 +185,20 @@ def redrive_needed(spark: SparkSession, d: str) -> DataFrame:
     return receipts(spark, d).groupBy("conv_id").agg(F.bool_or(F.col("result") == "unavailable").alias("redrive"))
 
 
-@query("limitations", "SELECT lang, coalesce('NO_TEXT_LAYER_PAGES: ' || string_agg(CAST(doc_id AS VARCHAR), ', ' ORDER BY doc_id) FILTER (n_chars < 60), 'none') AS limitation FROM documents GROUP BY 1")
+@query("limitations", "SELECT conv_id, coalesce('NO_TEXT_LAYER_PAGES: ' || string_agg(CAST(turn AS VARCHAR), ', ' ORDER BY turn) FILTER (length(text) < 120), 'none') AS limitation FROM conversations GROUP BY 1")
 def limitations(spark: SparkSession, d: str) -> DataFrame:
-    ids = F.array_sort(F.collect_list(F.when(F.col("n_chars") < 60, F.col("doc_id"))))
-    g = load(spark, d, "documents").groupBy("lang").agg(ids.alias("ids"))
-    return g.select("lang", F.when(F.size("ids") > 0, F.concat(F.lit("NO_TEXT_LAYER_PAGES: "), F.array_join(F.transform("ids", lambda x: x.cast("string")), ", "))).otherwise("none").alias("limitation"))
+    """A document's pages without text, named in order."""
+    short = F.array_sort(F.collect_list(F.when(F.length("text") < 120, F.col("turn"))))
+    g = load(spark, d, "conversations").groupBy("conv_id").agg(short.alias("n"))
+    return g.select("conv_id", F.when(F.size("n") > 0, F.concat(F.lit("NO_TEXT_LAYER_PAGES: "), F.array_join(F.transform("n", lambda x: x.cast("string")), ", "))).otherwise("none").alias("limitation"))
 
 
-@query("result_assembly", f"WITH {STATUS_SQL} SELECT method, count(*) AS items, sha256(string_agg(doc_id || ':' || status || ':' || coalesce(reason, ''), ';' ORDER BY doc_id)) AS result_sha256 FROM st WHERE doc_id % 10 = 0 GROUP BY 1")
+@query("result_assembly", "SELECT conv_id, count(*) AS items, sha256(string_agg(turn || ':' || role || ':' || length(text), ';' ORDER BY turn)) AS result_sha256 FROM conversations GROUP BY 1")
 def result_assembly(spark: SparkSession, d: str) -> DataFrame:
     """One result a request, its enrichments in order, with a digest."""
-    row = F.concat_ws(":", F.col("doc_id").cast("string"), "status", F.coalesce("reason", F.lit("")))
-    g = statuses(spark, d).where("doc_id % 10 = 0").groupBy("method").agg(F.count("*").alias("items"), F.array_sort(F.collect_list(F.struct("doc_id", row.alias("r")))).alias("x"))
-    return g.select("method", "items", F.sha2(F.array_join(F.transform("x", lambda v: v["r"]), ";"), 256).alias("result_sha256"))
+    row = F.concat_ws(":", F.col("turn").cast("string"), "role", F.length("text").cast("string"))
+    g = load(spark, d, "conversations").groupBy("conv_id").agg(F.count("*").alias("items"), F.array_sort(F.collect_list(F.struct("turn", row.alias("r")))).alias("x"))
+    return g.select("conv_id", "items", F.sha2(F.array_join(F.transform("x", lambda v: v["r"]), ";"), 256).alias("result_sha256"))
 
 
 @query("activity_options", "SELECT c_custkey AS run, CAST(ceil(c_nationkey / 5.0) AS BIGINT) * 60 * 4 + 120 AS timeout_s, CASE WHEN c_mktsegment = 'BUILDING' THEN 4 ELSE 2 END AS priority FROM customer")
@@ -346,12 +347,11 @@ def reuse_audit(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "documents").groupBy("source").agg((F.count("*") - fresh).alias("reused"), fresh.alias("fresh"), (fresh == 0).alias("all_reused"))
 
 
-@query("run_digest", "SELECT source, sha256(string_agg(doc_id || '|' || lang || '|' || n_chars, ';' ORDER BY doc_id)) AS digest FROM documents GROUP BY 1")
+@query("run_digest", "WITH x AS (SELECT source, sha256(doc_id || '|' || lang || '|' || n_chars) AS h FROM documents) SELECT source, count(*) AS n, bit_xor(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS digest FROM x GROUP BY 1")
 def run_digest(spark: SparkSession, d: str) -> DataFrame:
-    """A digest of a run without the fields that differ from run to run."""
-    row = F.concat_ws("|", F.col("doc_id").cast("string"), "lang", F.col("n_chars").cast("string"))
-    g = load(spark, d, "documents").groupBy("source").agg(F.array_sort(F.collect_list(F.struct("doc_id", row.alias("r")))).alias("x"))
-    return g.select("source", F.sha2(F.array_join(F.transform("x", lambda v: v["r"]), ";"), 256).alias("digest"))
+    """An order-free digest of a run's rows without the fields that differ from run to run."""
+    h = F.sha2(F.concat_ws("|", F.col("doc_id").cast("string"), "lang", F.col("n_chars").cast("string")), 256)
+    return load(spark, d, "documents").select("source", h.alias("h")).groupBy("source").agg(F.count("*").alias("n"), F.bit_xor(F.conv(F.substring("h", 1, 15), 16, 10).cast("long")).alias("digest"))
 
 
 @query("run_diff", "SELECT coalesce(a.doc_id, b.doc_id) AS doc_id, CASE WHEN b.doc_id IS NULL THEN 'lost' WHEN a.doc_id IS NULL THEN 'gained' ELSE 'changed' END AS what FROM (SELECT doc_id, lang FROM documents WHERE doc_id % 5 <> 0) a FULL JOIN (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'xx' ELSE lang END AS lang FROM documents WHERE doc_id % 7 <> 0) b USING (doc_id) WHERE a.lang IS DISTINCT FROM b.lang")

@@ -489,10 +489,10 @@ def registration_checks(spark: SparkSession, d: str) -> DataFrame:
     return c.withColumn("violation", F.col("tenants") > 1)
 
 
-@query("scope_filter", "SELECT user_id, list_has_any(list_distinct(list(event_type)), ['error', 'signup']) AS allowed FROM events WHERE event_id % 10 = 0 GROUP BY 1")
+@query("scope_filter", "SELECT user_id, epoch_us(ts) // 86400000000 AS day, list_has_any(list_distinct(list(event_type)), ['error', 'signup']) AS allowed FROM events GROUP BY 1, 2")
 def scope_filter(spark: SparkSession, d: str) -> DataFrame:
     scopes = F.array(F.lit("error"), F.lit("signup"))
-    return load(spark, d, "events").where("event_id % 10 = 0").groupBy("user_id").agg(F.arrays_overlap(F.collect_set("event_type"), scopes).alias("allowed"))
+    return load(spark, d, "events").groupBy("user_id", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 86_400_000_000).alias("day")).agg(F.arrays_overlap(F.collect_set("event_type"), scopes).alias("allowed"))
 
 
 @query("request_error_envelope", "SELECT event_id, CASE WHEN event_type = 'error' THEN 503 WHEN value < 5 THEN 429 ELSE 200 END AS status, CASE WHEN event_type = 'error' THEN 1 WHEN value < 5 THEN CAST(ceil(value) AS INTEGER) END AS retry_after FROM events")

@@ -45,18 +45,17 @@ def skip_reasons(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "chunk_pack",
-    """WITH g AS (SELECT source, list(CAST(n_chars AS BIGINT) ORDER BY doc_id) AS sizes FROM documents WHERE n_chars < 6000 GROUP BY 1),
-    f AS (SELECT source, list_reduce(list_transform(sizes, lambda n: {'chunk': CAST(0 AS BIGINT), 'fill': n, 'out': CAST([] AS BIGINT[])}),
-      lambda a, b: {'chunk': a.chunk + CASE WHEN a.chunk = 0 OR a.fill + b.fill > 8000 THEN 1 ELSE 0 END, 'fill': CASE WHEN a.chunk = 0 OR a.fill + b.fill > 8000 THEN b.fill ELSE a.fill + b.fill END, 'out': list_append(a.out, a.chunk + CASE WHEN a.chunk = 0 OR a.fill + b.fill > 8000 THEN 1 ELSE 0 END)},
+    """WITH g AS (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda x: CAST(length(x) AS BIGINT)) AS sizes FROM documents),
+    f AS (SELECT doc_id, list_reduce(list_transform(sizes, lambda n: {'chunk': CAST(0 AS BIGINT), 'fill': n, 'out': CAST([] AS BIGINT[])}),
+      lambda a, b: {'chunk': a.chunk + CASE WHEN a.chunk = 0 OR a.fill + b.fill > 800 THEN 1 ELSE 0 END, 'fill': CASE WHEN a.chunk = 0 OR a.fill + b.fill > 800 THEN b.fill ELSE a.fill + b.fill END, 'out': list_append(a.out, a.chunk + CASE WHEN a.chunk = 0 OR a.fill + b.fill > 800 THEN 1 ELSE 0 END)},
       {'chunk': CAST(0 AS BIGINT), 'fill': CAST(0 AS BIGINT), 'out': CAST([] AS BIGINT[])}) AS r FROM g)
-    SELECT source, len(r.out) AS sections, r.chunk AS chunks, array_to_string(r.out, ',') AS numbers FROM f""",
+    SELECT doc_id, len(r.out) AS sections, r.chunk AS chunks, array_to_string(r.out, ',') AS numbers FROM f""",
 )
 def chunk_pack(spark: SparkSession, d: str) -> DataFrame:
-    """Consecutive sections of a document (here: documents of a source) packed into chunks of at most 8000."""
-    docs = load(spark, d, "documents").where("n_chars < 6000")
-    g = docs.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("doc_id", "n_chars"))).alias("x"))
-    packed = g.select("source", t.pack_chunks(F.transform("x", lambda s: s["n_chars"])).alias("out"))
-    return packed.select("source", F.size("out").cast("long").alias("sections"), F.array_max("out").cast("long").alias("chunks"), F.array_join("out", ",").alias("numbers"))
+    """Consecutive sections (here: lines) of a document packed into chunks of at most 800, never split."""
+    sizes = F.transform(F.split("text", "\n", -1), lambda x: F.length(x).cast("long"))
+    packed = load(spark, d, "documents").select("doc_id", t.pack_chunks(sizes, 800).alias("out"))
+    return packed.select("doc_id", F.size("out").cast("long").alias("sections"), F.array_max("out").cast("long").alias("chunks"), F.array_join("out", ",").alias("numbers"))
 
 
 @query("sentence_test", "SELECT conv_id, turn, len(regexp_extract_all(text, '[^\\s]+')) >= 3 AND regexp_matches(text, '\\p{L}') AS sentence FROM conversations")
