@@ -2,8 +2,8 @@
 
 1. language_id: documents that the language models reject go.
 2. line_dedup: lines of recurring templates go from all documents but their first.
-3. near_dedup: one document of each SimHash class stays. Here the fingerprints are of five-word shingles and 256 bits
-   wide, so that classes take in copies of a similarity of 0.8 or more; the query op8 keeps to its own contract.
+3. near_dedup: one document of each class of near copies stays. Copies are linked if the exact similarity of their
+   five-word shingles is 0.8 or more; the query op8 keeps to its own contract.
 4. mix_sources: documents are taken as often as the mix to target weights says.
 5. packing: the documents' pieces of windows of 1024 tokens.
 
@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillfold.llm import langid, line_dedup, mixing, packing, simhash
+from quillfold.llm import langid, line_dedup, mixing, near_copies, packing
 from quillfold.llm.common import documents, shared_dir
 
 
@@ -34,7 +34,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.representatives(docs, span=5, limbs=4, radius=48)
+    return near_copies.representatives(docs, span=5, least=0.8)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,6 +49,17 @@ def _limb(h: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def majority(h: np.ndarray, limbs: int) -> np.ndarray:
+    """The bits that over half of the hashes have, as 64-bit limbs."""
+    out = np.zeros(limbs, np.uint64)
+    for k in range(limbs):
+        ones = np.zeros(64, np.int64)
+        for at in range(0, len(h), 65536):
+            ones += np.unpackbits(_limb(h[at : at + 65536], k).view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
+        out[k] = np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0]
+    return out
+
+
 def fingerprint(text: str | bytes, span: int = 3, limbs: int = 1) -> list[int]:
     """One text's fingerprint as unsigned 64-bit limbs."""
     import xxhash
@@ -58,14 +69,7 @@ def fingerprint(text: str | bytes, span: int = 3, limbs: int = 1) -> list[int]:
         return [0] * limbs
     n = max(1, len(w) - span + 1)
     shingles = map(b" ".join, zip(*(w[i : i + n] for i in range(span)), strict=True)) if len(w) >= span else [b" ".join(w)]
-    h = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n)
-    out = []
-    for k in range(limbs):
-        ones = np.zeros(64, np.int64)
-        for at in range(0, n, 65536):
-            ones += np.unpackbits(_limb(h[at : at + 65536], k).view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
-        out.append(int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0]))
-    return out
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n), limbs).tolist()
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], span: int, limbs: int) -> Iterator[pa.RecordBatch]:
@@ -151,21 +155,13 @@ def forest(hit: np.ndarray) -> list[tuple[int, int]]:
     return links
 
 
-def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by (table, key, ti, tj); a group may span batches, and has no fingerprint twice."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    last, ready, work = None, [], 0
+def grouped(batches: Iterator[pa.RecordBatch], sets: bool = False) -> Iterator[list[tuple[np.ndarray, ...]]]:
+    """Some groups at a time: (fp, limbs) and, if told, the column after them, of two rows or more.
 
-    def out(groups: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        a, b = [], []
-        sizes = np.array([len(g[0]) for g in groups])
-        for (fp, cells), hit in zip(groups, near(np.concatenate([g[1] for g in groups]), sizes, radius), strict=True):
-            if np.bitwise_count(hit).sum() > len(hit):  # more than each row itself
-                found = np.array(forest(hit))
-                a.append(fp[found[:, 0]])
-                b.append(fp[found[:, 1]])
-        cols = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (a, b)]
-        return pa.RecordBatch.from_arrays(cols, names=["a", "b"])
+    Rows come sorted by (table, key, ti, tj); a group may span batches, and has no fingerprint twice.
+    """
+    held: list[tuple[np.ndarray, ...]] = []
+    last, ready, work = None, [], 0
 
     def close() -> None:
         nonlocal held, work
@@ -182,38 +178,61 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Record
         keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)], axis=1)
         fp = batch.column(4).to_numpy(zero_copy_only=False)
         cells = batch.column(5).flatten().to_numpy(zero_copy_only=False).reshape(len(fp), -1).view(np.uint64)
+        more = [batch.column(6).to_numpy(zero_copy_only=False)] if sets else []
         starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(fp)]])
         for i, z in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             key = tuple(keys[i].tolist())
             if key != last:
                 close()
                 if work >= AT_ONCE:
-                    yield out(ready)
+                    yield ready
                     ready, work = [], 0
             last = key
-            held.append((fp[i:z], cells[i:z]))
+            held.append((fp[i:z], cells[i:z], *(x[i:z] for x in more)))
     close()
     if ready:
-        yield out(ready)
+        yield ready
 
 
-def links(prints: DataFrame, limbs: int = 1, radius: int = 3) -> DataFrame:
-    """a, b: links between distinct fingerprints (fp, limbs) that span every component of those found linked."""
-    keyed = prints.select("fp", "limbs", F.explode(bucket_keys(F.col("limbs"), limbs, radius)).alias("k")).select("fp", "limbs", "k.table", "k.key")
+def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    for groups in grouped(batches):
+        a, b = [], []
+        sizes = np.array([len(g[0]) for g in groups])
+        for (fp, _), hit in zip(groups, near(np.concatenate([g[1] for g in groups]), sizes, radius), strict=True):
+            if np.bitwise_count(hit).sum() > len(hit):  # more than each row itself
+                found = np.array(forest(hit))
+                a.append(fp[found[:, 0]])
+                b.append(fp[found[:, 1]])
+        cols = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (a, b)]
+        yield pa.RecordBatch.from_arrays(cols, names=["a", "b"])
+
+
+def dealt(keyed: DataFrame, *more: str) -> DataFrame:
+    """Rows (fp, limbs, table, key and more) of groups of two or more, dealt by group or tile pair and sorted."""
     sizes = keyed.groupBy("table", "key").agg(F.count("*").alias("size")).where("size > 1")
     tiles = F.ceil(F.col("size") / F.lit(TILE // 2)).cast("int")
     own = F.pmod(F.xxhash64("fp"), tiles.cast("long")).cast("int")
     joined = keyed.join(sizes, ["table", "key"])
     small = F.array(F.struct(F.lit(0).alias("ti"), F.lit(0).alias("tj")))
     large = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda k: F.struct(F.least(F.col("own"), k).alias("ti"), F.greatest(F.col("own"), k).alias("tj")))
-    dealt = (
+    tiled = (
         joined.withColumn("tiles", tiles)
         .withColumn("own", own)
-        .select("fp", "limbs", "table", "key", F.explode(F.when(F.col("size") <= TILE, small).otherwise(large)).alias("t"))
-        .select("table", "key", F.col("t.ti").alias("ti"), F.col("t.tj").alias("tj"), "fp", "limbs")
+        .select("fp", "limbs", "table", "key", *more, F.explode(F.when(F.col("size") <= TILE, small).otherwise(large)).alias("t"))
+        .select("table", "key", F.col("t.ti").alias("ti"), F.col("t.tj").alias("tj"), "fp", "limbs", *more)
     )
-    sorted_ = dealt.repartition("table", "key", "ti", "tj").sortWithinPartitions("table", "key", "ti", "tj")
-    return sorted_.mapInArrow(partial(_links, radius=radius), "a long, b long").distinct()
+    return tiled.repartition("table", "key", "ti", "tj").sortWithinPartitions("table", "key", "ti", "tj")
+
+
+def links_of(keyed: DataFrame, radius: int) -> DataFrame:
+    """a, b: links within the groups (table, key) that span every component of those found linked."""
+    return dealt(keyed).mapInArrow(partial(_links, radius=radius), "a long, b long").distinct()
+
+
+def links(prints: DataFrame, limbs: int = 1, radius: int = 3) -> DataFrame:
+    """a, b: links between distinct fingerprints (fp, limbs) that span every component of those found linked."""
+    keyed = prints.select("fp", "limbs", F.explode(bucket_keys(F.col("limbs"), limbs, radius)).alias("k")).select("fp", "limbs", "k.table", "k.key")
+    return links_of(keyed, radius)
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -246,6 +265,22 @@ def classes(docs: DataFrame, span: int = 3, limbs: int = 1, radius: int = 3) ->
     return prints.join(of_print, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def row_key(docs: DataFrame) -> Column:
+    """row: a hash of the doc_id, null or not, and the text."""
+    own = docs["doc_id"].cast("long")
+    return F.xxhash64(own.isNull(), own, docs["text"].isNull(), docs["text"]).alias("row")
+
+
+def one_each(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """docs with one row of each label of labelled (doc_id, row, label): that of its smallest doc_id, nulls last."""
+    rows = stored(labelled, "labelled")
+    first = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least"))
+    kept = stored(first.select(F.col("least.row").alias("_row")), "kept")
+    left = docs.withColumn("_row", row_key(docs)).join(kept, "_row", "left_semi")
+    again = rows.join(kept, rows["row"] == kept["_row"], "left_semi").groupBy("row").agg(F.count("*").alias("n")).where("n > 1")
+    return (left.dropDuplicates(["_row"]) if again.limit(1).count() else left).select(*docs.columns)
+
+
 def representatives(docs: DataFrame, **how) -> DataFrame:
     """docs with one row of each class: that of its smallest doc_id."""
     ids = stored(classes(docs, **how).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows")), "kept")
