@@ -1,12 +1,13 @@
 """Line dedup by a log-template tree, in DataFrame functions only.
 
-A line is parsed to a leaf of fixed depth: its number of tokens (what stands between spaces), then its first LEAD
-tokens, tokens with a digit standing as a wildcard. In leaves that recur across documents, each place's commonest token is the template's if half
-of the leaf's lines have it, else the place is a variable field. A line recurs if its masked text is the masked text
+A line is parsed to a leaf of fixed depth: its number of tokens (what stands between white space), then its first LEAD
+tokens, tokens with a digit standing as a wildcard. In leaves that recur across documents, each place's commonest token
+is the template's if half of the leaf's lines have it (over half, if min_docs is 2), else the place is a variable field. A line recurs if its masked text is the masked text
 of lines of `min_docs` documents, or if it agrees with its leaf's template in `alike` of its places and lines of
 `min_docs` documents do. Recurring lines are dropped from all documents but the first (smallest doc_id) that has them.
 
-Lines of under `min_tokens` tokens are never dropped. Lines are joined again as they were.
+Lines of under `min_tokens` tokens are never dropped, unless they have twice as many letters of scripts that are
+written without spaces. The query and the pipeline take min_docs = 2. Lines are joined again as they were.
 
 Cases: null text stays null; a null doc_id is one document, before all others; rows of one doc_id are one document
 and lose the same lines; a line of any length is one line; ties of commonest tokens go to the smaller; an empty table
@@ -23,6 +24,12 @@ from quillfold.llm.common import stored
 LEAD = 3
 WILD = "<*>"
 VARIABLE = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
+#: White space that stands between tokens as U+0020 does; a line has no line feed.
+OTHER_SPACE = "\t\x0b\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Letters of scripts that are written without spaces.
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+#: How the query and the pipeline call it: what two documents share recurs.
+SHARED = {"min_docs": 2}
 #: Rows (of 8 bytes, or of one template) up to which a side is broadcast; beyond, it is joined by shuffle.
 BROADCAST_LEAVES = 100_000
 BROADCAST_TEMPLATES = 5_000
@@ -36,10 +43,12 @@ def parsed(docs: DataFrame, min_tokens: int) -> DataFrame:
     """
     did = F.coalesce(docs["doc_id"].cast("long"), F.lit(FIRST))
     lines = docs.select(did.alias("did"), F.explode(F.array_distinct(F.split(docs["text"], "\n", -1))).alias("raw"))
-    plain = F.when(F.col("raw").rlike("[0-9]"), F.regexp_replace("raw", VARIABLE, WILD)).otherwise(F.col("raw"))
-    masked = lines.select("did", F.xxhash64("raw").alias("line"), F.trim(plain).alias("text"))
+    spaced = F.when(F.col("raw").rlike(f"[{OTHER_SPACE}]"), F.translate("raw", OTHER_SPACE, " " * len(OTHER_SPACE))).otherwise(F.col("raw"))
+    plain = F.when(F.col("raw").rlike("[0-9]"), F.regexp_replace(spaced, VARIABLE, WILD)).otherwise(spaced)
+    masked = lines.select("did", F.xxhash64("raw").alias("line"), F.trim(plain).alias("text"), F.trim("raw").alias("plain"))
     spaces = F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" ")))
-    long_ = masked.withColumn("n", spaces + 1).where(F.col("n") >= min_tokens)
+    unspaced = (F.octet_length("plain") >= 6 * min_tokens) & F.col("plain").rlike(f"(?:[^{UNSPACED}]*+[{UNSPACED}]){{{2 * min_tokens}}}")
+    long_ = masked.withColumn("n", spaces + 1).where((F.col("n") >= min_tokens) | unspaced)
     return long_.select("did", "line", "text", F.xxhash64("text").alias("masked"), F.xxhash64("n", F.substring_index("text", " ", LEAD)).alias("leaf"))
 
 
@@ -61,7 +70,9 @@ def recurring(docs: DataFrame, min_docs: int = 3, alike: float = 0.7, min_tokens
     distinct = stored(held.groupBy("leaf", "masked", "text").agg(F.count("*").alias("n")).select("leaf", "masked", "n", F.split("text", " ").alias("tokens")), "templates")
     places = distinct.select("leaf", "n", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.sum("n").alias("n"))
     commonest = places.groupBy("leaf", "at").agg(F.max(F.struct("n", F.struct(F.col("token")))).alias("top"), F.sum("n").alias("all"))
-    token = F.when(2 * F.col("top.n") >= F.col("all"), F.col("top.col2.token"))
+    # in leaves of two documents, half of the lines may be one line
+    common = 2 * F.col("top.n") >= F.col("all") if min_docs > 2 else 2 * F.col("top.n") > F.col("all")
+    token = F.when(common, F.col("top.col2.token"))
     templates = stored(commonest.select("leaf", "at", token.alias("token")).groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda p: p["token"]).alias("template")), "leaf-templates")
     same = F.size(F.filter(F.zip_with("tokens", "template", lambda a, b: a == b), lambda x: x))
     fits = stored(distinct.join(_bounded(templates, BROADCAST_TEMPLATES), "leaf").where(same >= alike * F.size("tokens")).select("leaf", "masked"), "fits")

@@ -25,7 +25,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.report(documents(spark, sf_dir))
+    return line_dedup.report(documents(spark, sf_dir), **line_dedup.SHARED)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
