@@ -4,7 +4,8 @@ A line is parsed to a leaf of fixed depth: its number of tokens (what stands bet
 tokens, tokens with a digit standing as a wildcard. In leaves that recur across documents, each place's commonest token
 is the template's if half of the leaf's lines have it (over half, if min_docs is 2), else the place is a variable field. A line recurs if its masked text is the masked text
 of lines of `min_docs` documents, or if it agrees with its leaf's template in `alike` of its places and lines of
-`min_docs` documents do. Recurring lines are dropped from all documents but the first (smallest doc_id) that has them.
+`min_docs` documents do. Either needs CONSTANT constant tokens, and half of all, that are equal; other lines, as rows
+of numbers, recur only as they are. Recurring lines are dropped from all documents but the first (smallest doc_id) that has them.
 
 Lines of under `min_tokens` tokens are never dropped, unless they have twice as many letters of scripts that are
 written without spaces. The query and the pipeline take min_docs = 2. Lines are joined again as they were.
@@ -23,6 +24,9 @@ from quillfold.llm.common import stored
 
 LEAD = 3
 WILD = "<*>"
+WILD_RE = r"<\*>"
+#: A masked text or template tells lines equal if so many of its tokens, and half of them, are constant.
+CONSTANT = 3
 VARIABLE = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
 #: White space that stands between tokens as U+0020 does; a line has no line feed.
 OTHER_SPACE = "\t\x0b\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -49,7 +53,11 @@ def parsed(docs: DataFrame, min_tokens: int) -> DataFrame:
     spaces = F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" ")))
     unspaced = (F.octet_length("plain") >= 6 * min_tokens) & F.col("plain").rlike(f"(?:[^{UNSPACED}]*+[{UNSPACED}]){{{2 * min_tokens}}}")
     long_ = masked.withColumn("n", spaces + 1).where((F.col("n") >= min_tokens) | unspaced)
-    return long_.select("did", "line", "text", F.xxhash64("text").alias("masked"), F.xxhash64("n", F.substring_index("text", " ", LEAD)).alias("leaf"))
+    # a text of few constant tokens says little of the line: then only the line itself recurs
+    wild = F.size(F.split("text", WILD_RE)) - 1
+    rigid = ~F.col("text").contains(WILD) | (F.col("n") - wild >= F.greatest(F.lit(CONSTANT), F.col("n") / 2))
+    masked_ = F.when(rigid, F.xxhash64("text")).otherwise(F.xxhash64(F.lit(1), "plain"))
+    return long_.select("did", "line", "text", masked_.alias("masked"), rigid.alias("rigid"), F.xxhash64("n", F.substring_index("text", " ", LEAD)).alias("leaf"))
 
 
 def _bounded(side: DataFrame, rows: int) -> DataFrame:
@@ -66,7 +74,7 @@ def recurring(docs: DataFrame, min_docs: int = 3, alike: float = 0.7, min_tokens
     exact = stored(again.select("masked", "did").distinct().groupBy("masked").agg(F.count("*").alias("n"), F.min("did").alias("first")).where(several).drop("n"), "exact")
     by_text = again.join(_bounded(exact, BROADCAST_LEAVES), "masked").where(F.col("did") != F.col("first")).select("did", "line")
     # templates of the recurring leaves
-    held = lines.join(_bounded(leaves, BROADCAST_LEAVES), "leaf", "left_semi")
+    held = lines.where("rigid").join(_bounded(leaves, BROADCAST_LEAVES), "leaf", "left_semi")
     distinct = stored(held.groupBy("leaf", "masked", "text").agg(F.count("*").alias("n")).select("leaf", "masked", "n", F.split("text", " ").alias("tokens")), "templates")
     places = distinct.select("leaf", "n", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.sum("n").alias("n"))
     commonest = places.groupBy("leaf", "at").agg(F.max(F.struct("n", F.struct(F.col("token")))).alias("top"), F.sum("n").alias("all"))
@@ -74,8 +82,9 @@ def recurring(docs: DataFrame, min_docs: int = 3, alike: float = 0.7, min_tokens
     common = 2 * F.col("top.n") >= F.col("all") if min_docs > 2 else 2 * F.col("top.n") > F.col("all")
     token = F.when(common, F.col("top.col2.token"))
     templates = stored(commonest.select("leaf", "at", token.alias("token")).groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda p: p["token"]).alias("template")), "leaf-templates")
-    same = F.size(F.filter(F.zip_with("tokens", "template", lambda a, b: a == b), lambda x: x))
-    fits = stored(distinct.join(_bounded(templates, BROADCAST_TEMPLATES), "leaf").where(same >= alike * F.size("tokens")).select("leaf", "masked"), "fits")
+    agreed = F.filter(F.zip_with("tokens", "template", lambda a, b: F.when(a == b, a)), lambda x: x.isNotNull())
+    constant = F.size(F.filter(agreed, lambda x: x != WILD)) >= F.greatest(F.lit(CONSTANT), F.size("tokens") / 2)
+    fits = stored(distinct.join(_bounded(templates, BROADCAST_TEMPLATES), "leaf").where((F.size(agreed) >= alike * F.size("tokens")) & constant).select("leaf", "masked"), "fits")
     of_leaf = again.join(_bounded(fits, BROADCAST_LEAVES), ["leaf", "masked"])
     shared = stored(of_leaf.select("leaf", "did").distinct().groupBy("leaf").agg(F.count("*").alias("n"), F.min("did").alias("first")).where(several).drop("n"), "shared")
     by_template = of_leaf.join(_bounded(shared, BROADCAST_LEAVES), "leaf").where(F.col("did") != F.col("first")).select("did", "line")

@@ -17,3 +17,10 @@ def test_lines_of_two_documents_and_of_any_script(spark):
 def test_two_documents_with_lines_half_alike_keep_both(spark):
     texts = ["we saw the x old red house near y hill", "we saw the a new big tree over b lake"]
     assert stage(spark, texts) == {i: [t] for i, t in enumerate(texts)}
+
+
+def test_rows_of_numbers_recur_only_as_they_are(spark):
+    texts = [f"12 7 3.5 40 {i}\n1 2 3 4 5\nx1 y{i} z2 alpha beta\nuser ann logged in on day {i}" for i in range(4)]
+    got = stage(spark, texts)
+    assert got[0] == texts[0].split("\n")
+    assert all(got[i] == [f"12 7 3.5 40 {i}", f"x1 y{i} z2 alpha beta"] for i in range(1, 4))
