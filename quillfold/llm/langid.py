@@ -8,8 +8,8 @@ language is its mean log probability per character; the best language wins. A te
 cross-entropy lies far above what that language's own texts had in calibration, more so the longer the text.
 
 The models are fitted on a bounded sample of labelled documents: about `per_language` of each language (all, if
-fewer), chosen by hash. A fifth of them calibrates. The table keeps the commonest `max_grams` n-grams of the highest
-order. All documents are scored, whole.
+fewer), chosen by hash. A fifth of them calibrates. The table keeps all n-grams of the sample, so that no language
+loses its own to others'. All documents are scored, whole.
 
 Cases: null text, and text without a letter, is `und` with score 0, rejected; null or missing labels are not learned
 from; without any labelled text every language is `und`; runs of over CHUNK letters are scored in chunks; ties go to
@@ -226,12 +226,12 @@ def _entropies(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in kept]), pa.array(ce), pa.array([float(len(w)) for _, w in kept])], names=["lang", "ce", "words"])
 
 
-def fit(labelled: DataFrame, per_language: int = 2000, max_grams: int = 400_000) -> Model:
+def fit(labelled: DataFrame, per_language: int = 2000) -> Model:
     """From labelled (text, lang); rows with a null in either are left out."""
     some = _sampled(labelled.select(labelled["lang"].cast("string").alias("lang"), labelled["text"].cast("string").alias("text")).where("lang is not null and text is not null"), per_language)
     grams = some.where("fold > 0").select("lang", "text").mapInArrow(_count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts: dict[str, Counter] = defaultdict(Counter)
-    for r in grams.orderBy(F.desc("n"), "lang", "gram").limit(max_grams).toLocalIterator():
+    for r in grams.toLocalIterator():
         counts[r["lang"]][r["gram"]] = r["n"]
     model = build(counts)
     model.usual, model.spread = np.full(len(counts), 2.0), np.full(len(counts), 1.0)
