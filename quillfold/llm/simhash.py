@@ -14,7 +14,7 @@ that it finds, never all pairs; components are then found by minimum labels over
 
 Cases: null and empty texts have fingerprint 0 and are linked like any other; fewer words than a shingle: the whole
 sequence is the one shingle; a null doc_id takes part, but is no class's id unless its class has no other; repeated
-rows each give a row of the same class; texts of any length are read whole; an empty table gives an empty result;
+rows each give a row of the same class; a class of null or shared doc_ids has its own representative; texts of any length are read whole; an empty table gives an empty result;
 other columns are not read.
 """
 
@@ -76,14 +76,14 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], span: int, limbs: int) -> I
     for batch in batches:
         prints = np.array([fingerprint(t, span, limbs) for t in batch.column(1).to_pylist()], np.uint64).reshape(-1, limbs)
         cells = pa.ListArray.from_arrays(np.arange(0, prints.size + 1, limbs, dtype=np.int32), prints.view(np.int64).ravel())
-        yield pa.RecordBatch.from_arrays([batch.column(0), cells], names=["doc_id", "limbs"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), cells], names=["doc_id", "row", "limbs"])
 
 
 def fingerprints(docs: DataFrame, span: int = 3, limbs: int = 1) -> DataFrame:
-    """doc_id, limbs (the fingerprint's bits as signed longs) and fp, one long that names the fingerprint."""
-    read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).cast("binary").alias("text"))
-    made = read.mapInArrow(partial(_fingerprints, span=span, limbs=limbs), "doc_id long, limbs array<long>")
-    return made.select("doc_id", "limbs", (F.get("limbs", F.lit(0)) if limbs == 1 else F.xxhash64("limbs")).alias("fp"))
+    """doc_id, row (row_key), limbs (the fingerprint's bits as signed longs) and fp, one long that names the fingerprint."""
+    read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).cast("binary").alias("text"), row_key(docs))
+    made = read.mapInArrow(partial(_fingerprints, span=span, limbs=limbs), "doc_id long, row long, limbs array<long>")
+    return made.select("doc_id", "row", "limbs", (F.get("limbs", F.lit(0)) if limbs == 1 else F.xxhash64("limbs")).alias("fp"))
 
 
 def bucket_keys(cells: Column, limbs: int, radius: int) -> Column:
@@ -253,18 +253,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def classes(docs: DataFrame, span: int = 3, limbs: int = 1, radius: int = 3) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits a limb), component_id (its class's smallest doc_id)."""
-    prints = stored(fingerprints(docs, span, limbs), "prints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.max("limbs").alias("limbs")) if limbs > 1 else prints.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("limbs", F.array("fp")), "nodes")
-    labels = components(links(nodes.select("fp", "limbs"), limbs, radius)).withColumnRenamed("node", "fp")
-    named = nodes.join(labels, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
-    ids = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    of_print = named.join(ids, "label").select("fp", "component_id")
-    digits = F.array_join(F.transform("limbs", lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
-    return prints.join(of_print, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
-
-
 def row_key(docs: DataFrame) -> Column:
     """row: a hash of the doc_id, null or not, and the text."""
     own = docs["doc_id"].cast("long")
@@ -281,8 +269,23 @@ def one_each(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     return (left.dropDuplicates(["_row"]) if again.limit(1).count() else left).select(*docs.columns)
 
 
+def labelled(docs: DataFrame, span: int = 3, limbs: int = 1, radius: int = 3) -> DataFrame:
+    """One row per document: doc_id, row (row_key), limbs, label (its class's name) and component_id."""
+    prints = stored(fingerprints(docs, span, limbs), "prints")
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.max("limbs").alias("limbs")) if limbs > 1 else prints.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("limbs", F.array("fp")), "nodes")
+    labels = components(links(nodes.select("fp", "limbs"), limbs, radius)).withColumnRenamed("node", "fp")
+    named = nodes.join(labels, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
+    ids = named.groupBy("label").agg(F.min("first").alias("component_id"))
+    of_print = named.join(ids, "label").select("fp", "label", "component_id")
+    return prints.join(of_print, "fp").select("doc_id", "row", "limbs", "label", "component_id")
+
+
+def classes(docs: DataFrame, span: int = 3, limbs: int = 1, radius: int = 3) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits a limb), component_id (its class's smallest doc_id)."""
+    digits = F.array_join(F.transform("limbs", lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
+    return labelled(docs, span, limbs, radius).select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def representatives(docs: DataFrame, **how) -> DataFrame:
     """docs with one row of each class: that of its smallest doc_id."""
-    ids = stored(classes(docs, **how).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows")), "kept")
-    kept = docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["_kept"]), "left_semi")
-    return kept if not ids.where("_rows > 1").limit(1).count() else kept.dropDuplicates(["doc_id"])
+    return one_each(docs, labelled(docs, **how))

@@ -56,3 +56,13 @@ def test_the_stage_keeps_what_is_not_similar_enough(spark):
     texts = near_texts()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == set(plain_labels(texts))
+
+
+def test_one_row_a_class_whatever_its_ids(spark):
+    rnd = random.Random(5)
+    texts = [" ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(30)) for _ in range(12)]
+    rows = [(None, t) for t in texts[:6]] + [(None, texts[0]), (None, texts[8])] + [(7, t) for t in texts[6:10]] + [(9, texts[10]), (9, texts[10]), (3, texts[11])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted(rows[:6] + rows[8:12] + [rows[12], rows[14]], key=str)
+    for kept in (simhash.representatives(df), corpus_pipeline.near_dedup(spark, df, "")):
+        assert sorted(map(tuple, kept.collect()), key=str) == want
