@@ -24,7 +24,6 @@ from quillfold.llm.common import stored
 
 LEAD = 3
 WILD = "<*>"
-WILD_RE = r"<\*>"
 #: A masked text or template tells lines equal if so many of its tokens, and half of them, are constant.
 CONSTANT = 3
 VARIABLE = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
@@ -47,14 +46,17 @@ def parsed(docs: DataFrame, min_tokens: int) -> DataFrame:
     """
     did = F.coalesce(docs["doc_id"].cast("long"), F.lit(FIRST))
     lines = docs.select(did.alias("did"), F.explode(F.array_distinct(F.split(docs["text"], "\n", -1))).alias("raw"))
-    spaced = F.when(F.col("raw").rlike(f"[{OTHER_SPACE}]"), F.translate("raw", OTHER_SPACE, " " * len(OTHER_SPACE))).otherwise(F.col("raw"))
+    # ASCII lines, most of them, are not held to the long class of characters
+    other = F.col("raw").rlike(r"[\t\x0B\f\r]") | ((F.octet_length("raw") > F.length("raw")) & F.col("raw").rlike(f"[{OTHER_SPACE}]"))
+    spaced = F.when(other, F.translate("raw", OTHER_SPACE, " " * len(OTHER_SPACE))).otherwise(F.col("raw"))
     plain = F.when(F.col("raw").rlike("[0-9]"), F.regexp_replace(spaced, VARIABLE, WILD)).otherwise(spaced)
     masked = lines.select("did", F.xxhash64("raw").alias("line"), F.trim(plain).alias("text"), F.trim("raw").alias("plain"))
     spaces = F.octet_length("text") - F.octet_length(F.replace("text", F.lit(" ")))
-    unspaced = (F.octet_length("plain") >= 6 * min_tokens) & F.col("plain").rlike(f"(?:[^{UNSPACED}]*+[{UNSPACED}]){{{2 * min_tokens}}}")
+    # each such letter has three bytes or more, so few lines come to the pattern
+    unspaced = (F.octet_length("plain") - F.length("plain") >= 4 * min_tokens) & F.col("plain").rlike(f"^(?:[^{UNSPACED}]*+[{UNSPACED}]){{{2 * min_tokens}}}")
     long_ = masked.withColumn("n", spaces + 1).where((F.col("n") >= min_tokens) | unspaced)
     # a text of few constant tokens says little of the line: then only the line itself recurs
-    wild = F.size(F.split("text", WILD_RE)) - 1
+    wild = (F.octet_length("text") - F.octet_length(F.replace("text", F.lit(WILD)))) / len(WILD)
     rigid = ~F.col("text").contains(WILD) | (F.col("n") - wild >= F.greatest(F.lit(CONSTANT), F.col("n") / 2))
     masked_ = F.when(rigid, F.xxhash64("text")).otherwise(F.xxhash64(F.lit(1), "plain"))
     return long_.select("did", "line", "text", masked_.alias("masked"), rigid.alias("rigid"), F.xxhash64("n", F.substring_index("text", " ", LEAD)).alias("leaf"))
