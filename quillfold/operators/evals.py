@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -172,7 +174,7 @@ def platt_fit(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("bootstrap_auroc")
-def bootstrap_auroc(spark: SparkSession, d: str, draws: int = 200) -> DataFrame:
+def bootstrap_auroc(spark: SparkSession, d: str, draws: int = 2000) -> DataFrame:
     """A percentile interval of the AUROC from draws of source groups with replacement (Poisson weights by hash).
 
     Every draw weighs a group by a count that depends on draw and group alone, so draws need no shuffle of their own
@@ -180,7 +182,11 @@ def bootstrap_auroc(spark: SparkSession, d: str, draws: int = 200) -> DataFrame:
     """
     s = scored(spark, d)
     u = (F.pmod(F.xxhash64("grp", "draw"), F.lit(1_000_003)) + 0.5) / 1_000_003
-    weight = F.when(u < 0.36788, 0).when(u < 0.73576, 1).when(u < 0.9197, 2).when(u < 0.98101, 3).when(u < 0.99634, 4).otherwise(5)
+    # as far as u tells counts apart: a tenth is rarer than its steps
+    weight, below_ = F.lit(0), 0.0
+    for k in range(10):
+        below_ += np.exp(-1) / math.factorial(k)
+        weight = weight + (u >= float(below_)).cast("int")
     drawn = s.groupBy("grp", "p", "y").agg(F.count("*").alias("n")).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("n", F.col("n") * weight).where("n > 0")
     ties = drawn.groupBy("draw", "p").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("y")).alias("pos"))
     below = F.coalesce(F.sum("n").over(Window.partitionBy("draw").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
