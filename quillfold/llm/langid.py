@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillfold.llm.common import text_of
+from quillfold.llm.common import frugal, text_of
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -197,6 +197,7 @@ def _sampled(labelled: DataFrame, per_language: int) -> DataFrame:
     return labelled.where(u < share).withColumn("fold", F.pmod(F.xxhash64(F.lit(9), "text"), F.lit(5)).cast("int"))
 
 
+@frugal
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words: dict[str, Counter] = defaultdict(Counter)
@@ -214,6 +215,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], names=["lang", "gram", "n"])
 
 
+@frugal
 def _entropies(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     scorer, index = Scorer(model), {x: i for i, x in enumerate(model.languages)}
     for batch in batches:
@@ -246,6 +248,7 @@ def fit(labelled: DataFrame, per_language: int = 2000) -> Model:
     return model
 
 
+@frugal
 def _predict(batches: Iterator[pa.RecordBatch], model: Model, text_at: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     scorer, labels = Scorer(model), np.array([*model.languages, UND], dtype=object)
     und = len(model.languages)
@@ -278,18 +281,29 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model, text_at: int, name
         yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *made], names=[*names, "lang_pred", "score", "cross_entropy", "rejected"])
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, text: str = "text") -> DataFrame:
-    """The columns `keep` (default: doc_id) and lang_pred, score, cross_entropy and rejected."""
-    keep = ["doc_id"] if keep is None else keep
+def _judged(docs: DataFrame, model: Model, keep: list[str], text: str) -> tuple[DataFrame, list[str]]:
+    """The columns `keep` under names of their own, which come second, and what predict adds."""
     held = [docs[c].alias(f"c{i}") for i, c in enumerate(keep)]
     again = text in keep and docs.schema[text].dataType.simpleString() == "string"  # then it travels once
     read = docs.select(*held, *([] if again else [docs[text].cast("string").alias("t")]))
     names = [f"c{i}" for i in range(len(keep))]
     schema = ", ".join([f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(names, keep, strict=True)] + ["lang_pred string", "score double", "cross_entropy double", "rejected boolean"])
-    done = read.mapInArrow(partial(_predict, model=model, text_at=keep.index(text) if again else len(keep), names=names), schema)
+    return read.mapInArrow(partial(_predict, model=model, text_at=keep.index(text) if again else len(keep), names=names), schema), names
+
+
+def predict(docs: DataFrame, model: Model, keep: list[str] | None = None, text: str = "text") -> DataFrame:
+    """The columns `keep` (default: doc_id) and lang_pred, score, cross_entropy and rejected."""
+    keep = ["doc_id"] if keep is None else keep
+    done, names = _judged(docs, model, keep, text)
     return done.select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs, with columns of any names, that the models do not reject."""
+    judged, names = _judged(docs, model, docs.columns, "text")
+    return judged.where(~F.col("rejected")).select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """The remainder of crc32 of the id's text; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

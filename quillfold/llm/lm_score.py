@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillfold.llm.common import stored, text_of
+from quillfold.llm.common import frugal, stored, text_of
 
 HEAD = 65_536
 FLUSH_WORDS = 150_000
@@ -58,6 +58,7 @@ def tokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+@frugal
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter[bytes] = Counter()
 
@@ -184,6 +185,7 @@ def _contexts(cls: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return c1, c2
 
 
+@frugal
 def _train(batches: Iterator[pa.RecordBatch], model: Model, seed: int) -> Iterator[pa.RecordBatch]:
     model.load(model.flat())  # own copies
     part = TaskContext.get().partitionId()
@@ -218,6 +220,7 @@ def _train(batches: Iterator[pa.RecordBatch], model: Model, seed: int) -> Iterat
         yield pa.RecordBatch.from_arrays([pa.array([trainer.seen], pa.int64()), pa.array([model.flat().tobytes()], pa.binary())], names=["n", "params"])
 
 
+@frugal
 def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, acc = 0, None
     for batch in batches:
@@ -280,6 +283,7 @@ def fit(train: DataFrame, settings: Settings | None = None) -> tuple[Model, Data
     return model, counts
 
 
+@frugal
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     t1, t2, z = (t.ravel() for t in model.tables())
     k = model.set.classes

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillfold.llm.common import stored, text_of
+from quillfold.llm.common import frugal, stored, text_of
 
 GRAM = 32
 PLACE_BITS = 20  # of a position within a buffer
@@ -232,6 +232,7 @@ def _kept(key, second, doc, th, pos) -> Iterator[pa.RecordBatch]:
     yield _rows(_scatter(doc[many], pos[many]), second[many], doc[many], th[many], pos[many], ASK)
 
 
+@frugal
 def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Rows of round one: anchors, markers, anchors to be asked for in round two, covered intervals (pos to second)."""
     block, reach = Block(), length - GRAM
@@ -253,6 +254,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         yield from out()
 
 
+@frugal
 def _resolve(batches: Iterator[pa.RecordBatch], length: int, halved: bool) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by key, second, doc, th, pos. Out: intervals covered and anchors to ask for (kind)."""
     last = None  # key, second, doc, th, pos of the last row
@@ -315,6 +317,7 @@ def _asked(batches: Iterator[pa.RecordBatch], length: int):
             yield buffer, left, right, docs[buffer.text], ths[buffer.text]
 
 
+@frugal
 def _halves(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Rows of round two: both halves of each asked anchor; pos is twice the anchor's, and one more for the right half.
 
@@ -342,6 +345,7 @@ def _halves(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         yield from out()
 
 
+@frugal
 def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Rows of round three: the strings at the asked halves; repeats within a block are covered at once."""
     block, half = Block(), (length - GRAM) // 2
@@ -364,6 +368,7 @@ def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         yield from out()
 
 
+@frugal
 def _repeats(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Sorted rows of round two: all but the first of a rank are covered."""
     last = None
@@ -385,6 +390,7 @@ def _repeats(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         last = tuple(c[-1] for c in (key, second, doc, th, pos))
 
 
+@frugal
 def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import zstandard
 
@@ -394,6 +400,7 @@ def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.binary())], names=batch.schema.names)
 
 
+@frugal
 def _finish(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, doc, th, text, ordinal, cuts) to results. cuts: array of (pos, end)."""
     import zstandard
