@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillfold.llm.common import stored, text_of
+from quillfold.llm.common import forget, frugal, stored, text_of
 from quillfold.llm.simhash import SEED, components, dealt, grouped, links_of, majority, near, one_each, row_key
 
 LIMBS = 4
@@ -49,6 +49,7 @@ def prefix_length(n: int, least: float) -> int:
     return n - math.ceil(least * n - 1e-9) + 1 if n else 0
 
 
+@frugal
 def _sets(batches: Iterator[pa.RecordBatch], span: int, least: float) -> Iterator[pa.RecordBatch]:
     def out(rows: list[tuple]) -> pa.RecordBatch:
         ids, keys, names, limbs, first, sets = zip(*rows, strict=True)
@@ -84,13 +85,16 @@ def coarse(nodes: DataFrame) -> DataFrame:
     sketch = nodes.select("fp", "limbs")
     both = pairs.join(sketch, "fp").join(sketch.select(F.col("fp").alias("centre"), F.col("limbs").alias("other")), "centre")
     star = stored(both.where(distance(F.col("limbs"), F.col("other")) <= RADIUS).select(F.col("fp").alias("a"), F.col("centre").alias("b")), "star")
-    labels = components(star).withColumnRenamed("node", "fp")
+    of_star = components(star)
+    labels = of_star.select(F.col("node").alias("fp"), "label")
     # a pair has been compared; so have groups that are one already
     left = stored(met.where("size > 2").select("key", "fp").join(labels, "fp", "left").select("key", "fp", F.coalesce("label", "fp").alias("label")), "left")
+    forget(met, of_star)
     open_ = left.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     keys = left.select("key", "fp").join(open_, "key").join(sketch, "fp").select("fp", "limbs", F.lit(0).alias("table"), "key")
-    more = links_of(keys, RADIUS)
-    return components(star.union(more))
+    found = components(star.union(links_of(keys, RADIUS)))
+    forget(star, left)
+    return found
 
 
 def _alike(groups: list[tuple[np.ndarray, ...]], least: float) -> tuple[list[int], list[int]]:
@@ -125,6 +129,7 @@ def _alike(groups: list[tuple[np.ndarray, ...]], least: float) -> tuple[list[int
     return a, b
 
 
+@frugal
 def _verified(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     for groups in grouped(batches, sets=True):
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _alike(groups, least)], names=["a", "b"])
@@ -134,13 +139,16 @@ def labelled(docs: DataFrame, span: int = 5, least: float = 0.8) -> DataFrame:
     """One row per document: doc_id, row (row_key) and label, its class's name."""
     read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key(docs), text_of(docs).cast("binary").alias("text"))
     made = read.mapInArrow(partial(_sets, span=span, least=least), "doc_id long, row long, fp long, limbs array<long>, first array<long>, grams binary")
-    prints = stored(made, "sets")
-    nodes = stored(prints.select("fp", "limbs", "first").dropDuplicates(["fp"]), "nodes")
-    members = stored(coarse(nodes).select(F.col("node").alias("fp"), F.col("label").alias("key")), "members")
-    sets = prints.select("fp", "limbs", "grams").join(members, "fp").dropDuplicates(["fp"]).select("fp", "limbs", F.lit(0).alias("table"), "key", "grams")
-    edges = stored(dealt(sets, "grams").mapInArrow(partial(_verified, least=least), "a long, b long").distinct(), "alike")
-    labels = components(edges).withColumnRenamed("node", "fp")
-    return prints.select("doc_id", "row", "fp").join(labels, "fp", "left").select("doc_id", "row", F.coalesce("label", "fp").alias("label"))
+    sets = stored(made, "sets")
+    prints = stored(sets.select("doc_id", "row", "fp"), "prints")
+    nodes = stored(sets.select("fp", "limbs", "first").dropDuplicates(["fp"]), "nodes")
+    found = coarse(nodes)
+    members = sets.select("fp", "limbs", "grams").join(found.select(F.col("node").alias("fp"), F.col("label").alias("key")), "fp").dropDuplicates(["fp"]).select("fp", "limbs", F.lit(0).alias("table"), "key", "grams")
+    edges = stored(dealt(members, "grams").mapInArrow(partial(_verified, least=least), "a long, b long").distinct(), "alike")
+    forget(sets, nodes, found)
+    labels = components(edges).select(F.col("node").alias("fp"), "label")
+    forget(edges)
+    return prints.join(labels, "fp", "left").select("doc_id", "row", F.coalesce("label", "fp").alias("label"))
 
 
 def representatives(docs: DataFrame, span: int = 5, least: float = 0.8) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillfold.llm.common import stored, text_of
+from quillfold.llm.common import forget, frugal, stored, text_of
 
 SEED = 42
 TILE = 4096
@@ -72,6 +72,7 @@ def fingerprint(text: str | bytes, span: int = 3, limbs: int = 1) -> list[int]:
     return majority(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64, n), limbs).tolist()
 
 
+@frugal
 def _fingerprints(batches: Iterator[pa.RecordBatch], span: int, limbs: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.array([fingerprint(t, span, limbs) for t in batch.column(1).to_pylist()], np.uint64).reshape(-1, limbs)
@@ -194,6 +195,7 @@ def grouped(batches: Iterator[pa.RecordBatch], sets: bool = False) -> Iterator[l
         yield ready
 
 
+@frugal
 def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
     for groups in grouped(batches):
         a, b = [], []
@@ -236,7 +238,7 @@ def links(prints: DataFrame, limbs: int = 1, radius: int = 3) -> DataFrame:
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, label: the smallest node of its component, for every node of the edges (a, b).
+    """A stored table of node and label, the smallest node of its component, for every node of the edges (a, b).
 
     Each round takes the smallest label among a node and its neighbours and then that label's own label, so that
     paths halve. Only the number of changed labels reaches the driver.
@@ -245,11 +247,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label"), F.lit(True).alias("changed")), "labels")
     for _ in range(rounds):
         if not labels.where("changed").limit(1).count():
-            return labels.select("node", "label")
+            forget(both)
+            return labels
         seen = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b").groupBy(F.col("a").alias("node")).agg(F.min("lb").alias("m"))
         low = labels.select("node", F.col("label").alias("old")).join(seen, "node").select("node", "old", F.least("old", "m").alias("low"))
         jump = labels.select(F.col("node").alias("low"), F.col("label").alias("far"))
-        labels = stored(low.join(jump, "low").select("node", F.least("low", "far").alias("label"), (F.least("low", "far") < F.col("old")).alias("changed")), "labels")
+        before, labels = labels, stored(low.join(jump, "low").select("node", F.least("low", "far").alias("label"), (F.least("low", "far") < F.col("old")).alias("changed")), "labels")
+        forget(before)
     raise RuntimeError("components did not settle")
 
 
@@ -273,7 +277,7 @@ def labelled(docs: DataFrame, span: int = 3, limbs: int = 1, radius: int = 3) ->
     """One row per document: doc_id, row (row_key), limbs, label (its class's name) and component_id."""
     prints = stored(fingerprints(docs, span, limbs), "prints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.max("limbs").alias("limbs")) if limbs > 1 else prints.groupBy("fp").agg(F.min("doc_id").alias("first")).withColumn("limbs", F.array("fp")), "nodes")
-    labels = components(links(nodes.select("fp", "limbs"), limbs, radius)).withColumnRenamed("node", "fp")
+    labels = components(links(nodes.select("fp", "limbs"), limbs, radius)).select(F.col("node").alias("fp"), "label")
     named = nodes.join(labels, "fp", "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     ids = named.groupBy("label").agg(F.min("first").alias("component_id"))
     of_print = named.join(ids, "label").select("fp", "label", "component_id")
