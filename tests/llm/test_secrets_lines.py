@@ -106,5 +106,22 @@ def test_lines_against_plain_python(spark, docs, rows):
     assert kept.columns == docs.columns and kept.count() == docs.count()
 
 
+def test_short_lines_recur_only_as_they_are_and_in_many_documents(spark):
+    rows = [(i, "\n".join(["read more here", f"page {i} of 9", "common", "" if i else "x", *(["seen twice"] if i < 2 else [])])) for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.report(df, min_docs=2, short_docs=8).collect()}
+    assert got[0] == rows[0][1].split("\n")
+    assert all(got[i] == [x for x in t.split("\n") if x != "read more here"] for i, t in rows[1:])
+
+
+def test_a_leaf_of_two_templates_keeps_both(spark):
+    one = "today the server alpha was restarted after user {} asked for that"
+    two = "today the server moved all files of folder {} away at noon"
+    rows = [(i, (one, two)[i % 2].format("bcdefghijk"[i])) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["text"] for r in line_dedup.report(df, min_docs=2).collect()}
+    assert got == {i: t if i < 2 else "" for i, t in rows}
+
+
 def test_lines_empty(empty):
     assert line_dedup.report(empty).collect() == []
