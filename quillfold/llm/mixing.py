@@ -7,7 +7,8 @@ bits. Nothing is sorted by document; a source of any size is only ever a row of
 
 Cases: null text has size 0; a null source is a source of its own, last in order; a null doc_id is hashed like any
 value; repeated rows share their hash and are taken together; sources without words have target 0; an empty table
-gives an empty result; other columns are not read.
+gives an empty result; other columns are not read, or carried along whatever
+their names.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillfold.llm.common import n_words, stored, text_of
+from quillfold.llm.common import fresh, n_words, stored, text_of
 
 BITS = 10  # of the hash that each histogram splits by
 LEVELS = 6
@@ -85,21 +86,21 @@ def _thresholds(sized: DataFrame, weights: Sequence[float], share: float, most:
     return spark.createDataFrame(rows, "plan_source string, source_size long, target double, copies long, bits int, below long")
 
 
-def _copies(h: Column) -> Column:
-    """By a plan's columns: the copies of every document, and one more if the hash's first `bits` bits are under `below`."""
-    under = (F.col("bits") > 0) & (F.call_function("shiftrightunsigned", h, 64 - F.col("bits")) < F.col("below"))
-    return F.col("copies") + under.cast("long")
+def _copies(h: Column, plan: Column) -> Column:
+    """By a plan: the copies of every document, and one more if the hash's first `bits` bits are under `below`."""
+    under = (plan["bits"] > 0) & (F.call_function("shiftrightunsigned", h, 64 - plan["bits"]) < plan["below"])
+    return plan["copies"] + under.cast("long")
 
 
-def _plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 42):
-    return _thresholds(_sized(docs, seed), weights, share, most), _copies
+def _plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 42) -> DataFrame:
+    return _thresholds(_sized(docs, seed), weights, share, most)
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 42) -> DataFrame:
     """One row per document: doc_id, size, source, source_size, target, copies, taken (size times copies)."""
     sized = _sized(docs, seed)
     plan = _thresholds(sized, weights, share, most)
-    out = sized.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("plan_source"))).withColumn("copies", _copies(F.col("h")))
+    out = sized.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("plan_source"))).withColumn("copies", _copies(F.col("h"), F.struct("copies", "bits", "below")))
     return out.select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
@@ -131,10 +132,10 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     """docs with each row as often as the mix takes it; rows that it does not take go.
 
     The decision depends on doc_id, source and text alone, so a row's copies are recomputed from the thresholds where
-    the row is read, and no text is moved.
+    the row is read, and no text is moved. Columns of any name are carried along.
     """
-    plan, copies = _plan(docs, **how)
-    source = docs["source"].cast("string")
-    joined = docs.join(F.broadcast(plan), source.eqNullSafe(plan["plan_source"]))
-    times = copies(F.xxhash64(F.lit(how.get("seed", 42)), docs["doc_id"], text_of(docs)))
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*[docs[c] for c in docs.columns])
+    plan = _plan(docs, **how).select(F.col("plan_source"), F.struct("copies", "bits", "below").alias("plan"))
+    joined = docs.join(F.broadcast(plan), docs["source"].cast("string").eqNullSafe(plan["plan_source"]))
+    times = _copies(F.xxhash64(F.lit(how.get("seed", 42)), docs["doc_id"], text_of(docs)), plan["plan"])
+    again = joined.select(*[docs[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(1), times.cast("int"))).alias(fresh(docs, "copy")))
+    return again.select(*docs.columns)

@@ -14,9 +14,9 @@ left. Without weights every queue is dealt in proportion to its length, so all r
 Documents are cut freely at window ends. Windows are full but for the last few: the last tokens that do not fill one
 go to windows whose lengths are powers of two, so that none needs padding.
 
-Cases: null or empty text is its end token alone; a null source is a queue of its own; a null doc_id is carried
-along; repeated rows are packed each; long texts are cut at safe places for the tokenizer's cache only; an empty
-table gives an empty result; other columns are not read.
+Cases: null or empty text is its end token alone; an added token's string in a text is that token; a null source is a
+queue of its own; a null doc_id is carried along; repeated rows are packed each; long texts are cut at safe places for
+the tokenizer's cache only; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,12 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillfold.llm.common import stored, text_of
+from quillfold.llm.common import frugal, stored, text_of
 
 #: Rows of (block, source) offsets up to which they are broadcast (some 40 bytes each); beyond, they are joined.
 BROADCAST_ROWS = 200_000
 MAX_SOURCES = 100_000
-CACHE_PIECES = 400_000
+#: Cached pieces of texts that are not merged by rank, of CACHE_CHARS at most: some 10 MB.
+CACHE_PIECES = 40_000
 CACHE_CHARS = 48
 BATCH_CHARS = 400_000
 #: Fixed by the vocabulary file's kind: how byte-level BPE splits a text before it merges.
@@ -66,7 +67,8 @@ class PieceTokenizer:
     file's own vocabulary, whose ids stand in merge order. In other texts the
     file's tokenizer gives the ids of the pieces between single spaces, which are cached: byte-level BPE splits a text
     at every space between two other characters before it merges, and the space goes with what follows; so the ids of
-    " piece" do not depend on the rest.
+    " piece" do not depend on the rest. Texts that hold one of the file's added tokens go to its tokenizer whole, which
+    gives such a token its own id.
     """
 
     def __init__(self, path: str):
@@ -75,14 +77,13 @@ class PieceTokenizer:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.inner: dict[str, bytes] = {}
         self.fast = None
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocabulary, symbol = spec["model"]["vocab"], _byte_of_symbol()
-        special = {x["content"] for x in spec.get("added_tokens", ())}
-        ranks = {bytes(symbol[c] for c in t): i for t, i in vocabulary.items() if t not in special}
+        self.added = [x["content"] for x in spec.get("added_tokens", ())]
+        ranks = {bytes(symbol[c] for c in t): i for t, i in vocabulary.items() if t not in self.added}
         merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         order = [vocabulary[a + b] for a, b in merges]
         if order == sorted(order) and len(ranks) == 256 + len(merges):
@@ -96,7 +97,9 @@ class PieceTokenizer:
         out: list[bytes] = [b""] * len(texts)
         slow = []
         for i, t in enumerate(texts):
-            if self.fast is not None and _STABLE.fullmatch(t):
+            if any(a in t for a in self.added):
+                out[i] = self._encode([t])[0]
+            elif self.fast is not None and _STABLE.fullmatch(t):
                 out[i] = array.array("I", self.fast.encode_ordinary(t)).tobytes()
             else:
                 slow.append(i)
@@ -136,6 +139,7 @@ def tokenizer(path: str | None) -> PieceTokenizer:
     return _TOKENIZERS[path]
 
 
+@frugal
 def _tokenise(batches: Iterator[pa.RecordBatch], path: str | None, end_id: int) -> Iterator[pa.RecordBatch]:
     tok, block = tokenizer(path), TaskContext.get().partitionId()
     end, seen = array.array("I", [end_id]).tobytes(), {}
@@ -241,6 +245,7 @@ class Plan:
             yield tuple(np.asarray(v[keep], dtype=np.int64) for v in (rows[at], start + own[at] - p[rows[at]], stop - start, w, offset))
 
 
+@frugal
 def _deal(batches: Iterator[pa.RecordBatch], names: list[str | None], totals: list[int], weights: list[float] | None, window: int) -> Iterator[pa.RecordBatch]:
     plan, index = Plan(totals, weights, window), {s: i for i, s in enumerate(names)}
     for batch in batches:

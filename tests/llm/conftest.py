@@ -24,7 +24,7 @@ def rows():
     texts = [prose(rnd.randint(1, 300)) for _ in range(60)]
     texts += [texts[3], texts[3], texts[4] + " tail", shared + prose(50), prose(20) + shared, shared]
     texts += ["", None, " \t\n", "a", "a b", "Ünï çödé ßß 日本語 テキスト " * 20, "x" * 5000, "the same " * 400, "line one here\n" * 30, "1234 !!! ???", " nbsp em  two   three\r\n\x0bend "]
-    texts += [prose(6000), "Hello  World\n\n\nAgain", "tab\tsep\tvalues", "tail space ", " head"]
+    texts += [prose(6000), "Hello  World\n\n\nAgain", "tab\tsep\tvalues", "tail space ", " head", "hello <|endoftext|> world", "日本語 テスト <|endoftext|>"]
     out = []
     for i, t in enumerate(texts):
         out.append((i, t, [None, "en", "de"][i % 3], [None, "a", "b", "a", "a", "ü"][i % 6]))

@@ -7,14 +7,18 @@ import pytest
 import public_tokenizers
 import xxhash
 from conftest import plain_words
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from quillfold.llm import packing, simhash
 
 
+PLAIN = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def plain_ids(text):
-    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    return tok.encode(text or "", add_special_tokens=False).ids + [0]
+    return PLAIN.encode(text or "", add_special_tokens=False).ids + [0]
 
 
 @pytest.mark.parametrize("weights", [None, {"a": 5.0, "b": 2.0, None: 1.0}])
@@ -46,6 +50,23 @@ def test_pack_round_trip(docs, rows, weights):
     assert all(n == 128 or (n & (n - 1)) == 0 for n in lengths) and sum(n != 128 for n in lengths) <= 7
 
 
+AWKWARD = st.text(alphabet=st.one_of(st.sampled_from(" \t\n'sAÉéaz09.,-_/<|>\u00a0日本ー한ا\u0301🙂"), st.characters(codec="utf-8")), max_size=60)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(AWKWARD, st.sampled_from(["<|endoftext|>", "<|endof", " ", "it's", "日本語"])), max_size=6))
+def test_ids_are_the_files_own(parts):
+    text = "".join(parts)
+    got = packing.tokenizer(None).encode([text])[0]
+    assert [*struct.unpack(f"<{len(got) // 4}I", got)] == PLAIN.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_keep_their_id():
+    for text in ("hello <|endoftext|> world", "日本語 テスト <|endoftext|>", "<|endoftext|>", "a<|endoftext|>b"):
+        got = packing.tokenizer(None).encode([text])[0]
+        assert 50256 in struct.unpack(f"<{len(got) // 4}I", got) and [*struct.unpack(f"<{len(got) // 4}I", got), 0] == plain_ids(text)
+
+
 def test_windows_keep_proportions():
     totals = [70_000, 20_000, 7, 10_000]
     plan = packing.Plan(totals, None, 1024)
