@@ -16,17 +16,15 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quillfold.llm import langid, line_dedup, mixing, near_copies, packing
-from quillfold.llm.common import documents, shared_dir
+from quillfold.llm.common import delete, documents, scratch, shared_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rest = langid.fold(docs["doc_id"], 4)
     model = langid.fit(docs.where(rest != 2).select("text", "lang"))
-    judged = langid.predict(docs, model, docs.columns)
-    return judged.where(~F.col("rejected")).select(*docs.columns)
+    return langid.accepted(docs, model)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,13 +56,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STAGES over documents, each stage's rows written to the shared folder and read by the next."""
-    docs = documents(spark, sf_dir)
+    """STAGES over documents, each stage's rows written to the shared folder and read by the next.
+
+    What a stage stored for itself goes when it has ended, and its rows when the next stage has.
+    """
+    docs, before = documents(spark, sf_dir), []
     for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
         path = f"{shared_dir(spark)}/quillfold-pipeline-{name}-{uuid.uuid4().hex}"
-        out.write.parquet(path)
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
+        delete(spark, before)
+        before = [path]
     return docs
 
 
