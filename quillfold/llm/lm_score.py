@@ -1,15 +1,17 @@
 """Language-model scores from a log-bilinear model trained with noise-contrastive estimation.
 
-Tokens are lower-cased words and one end per document. The most frequent `classes - 2` words, the end and one class
-for all other words are the model's classes. Two preceding classes predict the next: the score of class w is
+Tokens are lower-cased words and one end per document. The end and the most frequent words are classes of their own;
+every other word, seen or not, belongs to one of `tails` classes by its first and last two bytes, so that each word is
+told from others as a target and as a context. Two preceding classes predict the next: the score of class w is
 (C1 * r[c1] + C2 * r[c2]) . q[w] + b[w], trained against noise from the unigram distribution, document block by
-document block over all training documents, and averaged. The score is a sum of two tables, so all normalisers
-Z[c1, c2] = sum_w exp(T1[c1, w]) exp(b[w]) exp(T2[c2, w]) are one matrix product, and every token's probability is
-exactly normalised. A word of the other class then has its smoothed share of that class's training tokens, one
-unseen word included, so the whole is a distribution over all words.
+document block over all positions of all training documents, and averaged. The score is a sum of two tables, so all
+normalisers Z[c1, c2] = sum_w exp(T1[c1, w]) exp(b[w]) exp(T2[c2, w]) are one matrix product, and every token's
+probability is exactly normalised. A word of a tail class then has its smoothed share of that class's training tokens,
+one unseen word included, so the whole is a distribution over all words.
 
-Counts cover all training documents. The commonest HEAD words' counts are looked up where the text is read; the
-others' travel by word to the table of counts, so that no table that grows with the corpus is broadcast.
+Counts cover all training documents. The commonest words' counts, HEAD or some more, are looked up where the text is
+read; the others' travel by word to the table of counts, so that no table that grows with the corpus is broadcast.
+Blocks are the input's partitions: files that are split otherwise give another average.
 
 Cases: null or empty text is its end token; a null doc_id is scored, neither held out nor learned from; repeated rows
 each give a row; texts of any length are scored whole; without training documents all counts are 0; an empty table
@@ -18,40 +20,50 @@ gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
 from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillfold.llm.common import frugal, stored, text_of
 
 HEAD = 65_536
 FLUSH_WORDS = 150_000
-END, OTHER = 0, 1
+END = 0
 ALPHA = 0.1
 
 
 @dataclass
 class Settings:
-    classes: int = 1024
+    #: Classes at most: the end, words of their own class, and a half that the other words share.
+    classes: int = 2048
     size: int = 24
     noise: int = 64
-    batch: int = 1024
+    batch: int = 2048
     rate: float = 0.2
     #: Where Adagrad's sums of squares start: early steps stay small.
     calm: float = 50.0
     seed: int = 11
-    #: Documents, about, of the one-task warm-up that all blocks start from.
+    #: Documents, about, of the one-task warm-up that all blocks start from before they visit all documents.
     warm_docs: int = 3000
-    #: Share of the positions of each training document that the gradient steps visit.
-    positions: float = 0.5
+
+    @property
+    def tails(self) -> int:
+        return self.classes // 2
+
+
+def tail_of(words: Iterable[bytes], tails: int) -> np.ndarray:
+    """The number among the shared classes of each word."""
+    return np.fromiter((crc32(w[:2] + w[-2:]) % tails for w in words), np.int64)
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -76,33 +88,50 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+@frugal
+def _mass(batches: Iterator[pa.RecordBatch], own: frozenset[bytes], tails: int) -> Iterator[pa.RecordBatch]:
+    """Tokens and distinct words of each shared class in counts (word, c)."""
+    sums = np.zeros((2, tails), np.int64)
+    for batch in batches:
+        words = batch.column(0).to_pylist()
+        shared = np.flatnonzero(np.fromiter((w not in own for w in words), bool, len(words)))
+        cls = tail_of([words[i] for i in shared.tolist()], tails)
+        np.add.at(sums[0], cls, batch.column(1).to_numpy(zero_copy_only=False)[shared])
+        np.add.at(sums[1], cls, 1)
+    at = np.flatnonzero(sums[1])
+    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (at, sums[0][at], sums[1][at])], names=["cls", "c", "n"])
+
+
 @dataclass
 class Model:
-    """The vocabulary's head with its counts, and the class tables."""
+    """The vocabulary's head with its counts, the classes' training tokens, and the class tables."""
 
     total: int  # training tokens
     distinct: int
     head: dict[bytes, int]
     count: np.ndarray  # of the head
     cls: np.ndarray  # of the head
-    other_total: int
-    other_distinct: int
+    first_tail: int  # the shared classes' first
+    mass: np.ndarray  # of each class: training tokens
+    kinds: np.ndarray  # of each class: distinct words
     set: Settings
     r: np.ndarray | None = None
     c: np.ndarray | None = None
     q: np.ndarray | None = None
     b: np.ndarray | None = None
 
+    @property
+    def k(self) -> int:
+        return len(self.mass)
+
     @property
     def noise(self) -> np.ndarray:
         """The unigram distribution of the classes, smoothed."""
-        n = np.full(self.set.classes, ALPHA)
-        np.add.at(n, self.cls, self.count)
-        n[OTHER] += self.total - self.count.sum()
+        n = self.mass + ALPHA
         return n / n.sum()
 
     def start(self) -> None:
-        rng, k, d = np.random.default_rng(self.set.seed), self.set.classes, self.set.size
+        rng, k, d = np.random.default_rng(self.set.seed), self.k, self.set.size
         self.r = rng.normal(0, 0.1, (k, d)).astype(np.float32)
         self.q = rng.normal(0, 0.1, (k, d)).astype(np.float32)
         self.c = np.ones((2, d), np.float32)
@@ -112,25 +141,41 @@ class Model:
         """Places in the head, or -1."""
         return np.fromiter(map(self.head.get, words, repeat(-1)), np.int32, len(words))
 
-    def classes_of(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids < 0, OTHER, self.cls[ids]) if len(self.cls) else np.full(len(ids), OTHER)
+    def classes_of(self, words: list[bytes], ids: np.ndarray) -> np.ndarray:
+        out = self.cls[ids] if len(self.cls) else np.zeros(len(ids), np.int64)
+        rare = np.flatnonzero(ids < 0)
+        out[rare] = self.first_tail + tail_of([words[i] for i in rare.tolist()], self.set.tails)
+        return out
+
+    def sizes(self) -> np.ndarray:
+        """Log10 of what a word's smoothed count is divided by for its share of its class; of own classes 0."""
+        out = np.log10(self.mass + ALPHA * (self.kinds + 1))
+        out[: self.first_tail] = 0
+        return out
 
     def flat(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in (self.r, self.c, self.q, self.b)])
 
     def load(self, flat: np.ndarray) -> None:
-        k, d = self.set.classes, self.set.size
+        k, d = self.k, self.set.size
         at = np.cumsum([0, k * d, 2 * d, k * d, k])
         self.r, self.c, self.q, self.b = (flat[a:z].astype(np.float32).reshape(s) for a, z, s in zip(at, at[1:], [(k, d), (2, d), (k, d), (k,)], strict=False))
 
+    def scores(self) -> tuple[np.ndarray, np.ndarray]:
+        """Natural-log tables T1[c1, w] and T2[c2, w] (with b)."""
+        return (self.r * self.c[0]) @ self.q.T, (self.r * self.c[1]) @ self.q.T + self.b
+
+    def normalisers(self) -> np.ndarray:
+        """log10 Z[c1, c2]."""
+        t1, t2 = self.scores()
+        m1, m2 = t1.max(axis=1), t2.max(axis=1)
+        z = np.exp(t1 - m1[:, None]) @ np.exp(t2 - m2[:, None]).T
+        return ((np.log(z) + m1[:, None] + m2[None, :]) / np.log(10)).astype(np.float32)
+
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Log10 tables T1[c1, w], T2[c2, w] (with b) and log10 Z[c1, c2]."""
-        t1 = ((self.r * self.c[0]) @ self.q.T).astype(np.float64)
-        t2 = ((self.r * self.c[1]) @ self.q.T + self.b).astype(np.float64)
-        m1, m2 = t1.max(axis=1), t2.max(axis=1)
-        z = np.log(np.exp(t1 - m1[:, None]) @ np.exp(t2 - m2[:, None]).T) + m1[:, None] + m2[None, :]
-        ten = np.log(10)
-        return (t1 / ten).astype(np.float32), (t2 / ten).astype(np.float32), (z / ten).astype(np.float32)
+        t1, t2 = ((t / np.log(10)).astype(np.float32) for t in self.scores())
+        return t1, t2, self.normalisers()
 
 
 def _rows_sum(idx: np.ndarray, values: np.ndarray, k: int) -> np.ndarray:
@@ -153,7 +198,7 @@ class Trainer:
         self.seen = 0
 
     def step(self, w: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> None:
-        m, k = self.m, self.m.set.classes
+        m, k = self.m, self.m.k
         noise = np.minimum(np.searchsorted(self.edges, self.rng.random(m.set.noise)), k - 1)
         shift = self.log_noise + np.float32(np.log(m.set.noise))
         r1, r2, qw, qn = m.r[c1], m.r[c2], m.q[w], m.q[noise]
@@ -206,12 +251,10 @@ def _train(batches: Iterator[pa.RecordBatch], model: Model, seed: int) -> Iterat
 
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            ids = model.ids(tokens(text))
-            cls = np.append(model.classes_of(ids), END)
-            c1, c2 = _contexts(cls, np.zeros(1, np.int64))
-            pick = np.flatnonzero(trainer.rng.random(len(cls)) < model.set.positions)
-            held.append((cls[pick], c1[pick], c2[pick]))
-            count += len(pick)
+            words = tokens(text)
+            cls = np.append(model.classes_of(words, model.ids(words)), END)
+            held.append((cls, *_contexts(cls, np.zeros(1, np.int64))))
+            count += len(cls)
             if count >= 32 * size:
                 steps(False)
     if held:
@@ -235,20 +278,22 @@ PARAMS = "n long, params binary"
 
 
 def _head(counts: DataFrame) -> list[tuple[bytes, int]]:
-    """The commonest words and their counts, HEAD at most, commonest first.
+    """The end's and the commonest words' counts, commonest first: HEAD words, give or take a few.
 
     A histogram of counts in fine logarithmic steps (some 4000 at most) tells from which count on words are few
-    enough, so the driver gets the head's rows and no candidates of each partition.
+    enough; of the step in which they become too many, a hash takes as many as there is room for. So the driver gets
+    the head's rows and no candidates of each partition.
     """
     step = F.floor(F.log2("c") * 64).cast("int")
-    least, room = None, HEAD
+    inside, room = F.col("word") == F.lit(b""), HEAD
     for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect():
         if r["n"] > room:
+            inside |= (step == r["step"]) & (F.shiftrightunsigned(F.xxhash64("word"), 11) < int((1 << 53) * room / r["n"]))
             break
         least, room = r["step"], room - r["n"]
-    if least is None:
-        return []
-    rows = counts.where(step >= least).collect()
+    if room < HEAD:
+        inside |= step >= least
+    rows = counts.where(inside).collect()
     return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
@@ -259,14 +304,17 @@ def fit(train: DataFrame, settings: Settings | None = None) -> tuple[Model, Data
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     head = _head(counts)
     words, count = [w for w, _ in head], np.array([c for _, c in head], np.int64)
-    cls, k = np.full(len(words), OTHER), 2
-    for i, w in enumerate(words):
-        if w == b"":
-            cls[i] = END
-        elif k < settings.classes:
-            cls[i], k = k, k + 1
-    own = cls != OTHER
-    model = Model(total, distinct, {w: i for i, w in enumerate(words)}, count, cls, total - int(count[own].sum()), distinct - int(own.sum()), settings)
+    own = [w for w in words if w != b""][: settings.classes - settings.tails - 1]
+    place = {b"": END} | {w: i + 1 for i, w in enumerate(own)}
+    mass, kinds = np.zeros((2, len(place) + settings.tails), np.int64)
+    for w, c in head:
+        if w in place:
+            mass[place[w]], kinds[place[w]] = c, 1
+    for r in counts.mapInArrow(partial(_mass, own=frozenset(place), tails=settings.tails), "cls long, c long, n long").groupBy("cls").agg(F.sum("c").alias("c"), F.sum("n").alias("n")).collect():
+        mass[len(place) + r["cls"]], kinds[len(place) + r["cls"]] = r["c"], r["n"]
+    tail = len(place) + tail_of(words, settings.tails)
+    cls = np.array([place.get(w, t) for w, t in zip(words, tail.tolist(), strict=True)], np.int64)
+    model = Model(total, distinct, {w: i for i, w in enumerate(words)}, count, cls, len(place), mass, kinds, settings)
     model.start()
     docs = train.count()
     if docs:
@@ -284,13 +332,13 @@ def fit(train: DataFrame, settings: Settings | None = None) -> tuple[Model, Data
 
 
 @frugal
-def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    t1, t2, z = (t.ravel() for t in model.tables())
-    k = model.set.classes
+def _score(batches: Iterator[pa.RecordBatch], model: Model, normalisers: np.ndarray) -> Iterator[pa.RecordBatch]:
+    t1, t2 = ((t / np.log(10)).astype(np.float32).ravel() for t in model.scores())
+    z, k, sizes = normalisers.ravel(), model.k, model.sizes()
     base = np.log10((model.count + ALPHA) / (model.total + ALPHA * (model.distinct + 1)))
-    other = np.where(model.cls == OTHER, np.log10((model.count + ALPHA) / (model.other_total + ALPHA * (model.other_distinct + 1))), 0.0)
+    share = np.where(model.cls >= model.first_tail, np.log10(model.count + ALPHA) - sizes[model.cls], 0.0) if len(model.cls) else np.zeros(0)
     end = model.head.get(b"", -1)
-    base, other = np.append(base, 0.0), np.append(other, 0.0)  # -1: added where the count is known
+    base, share = np.append(base, 0.0), np.append(share, 0.0)  # -1: added where the count is known
     uid = TaskContext.get().partitionId() << 33
     kind = pa.struct([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
 
@@ -301,10 +349,10 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
         flat = [x for w in words for x in (*w, b"")]
         ids = model.ids(flat)
         ids[starts + n - 1] = end
-        cls = model.classes_of(ids)
+        cls = model.classes_of(flat, ids)
         cls[starts + n - 1] = END
         c1, c2 = _contexts(cls, starts)
-        lp = (t1[c1 * k + cls] + t2[c2 * k + cls] - z[c1 * k + c2]).astype(np.float64) + other[ids]
+        lp = (t1[c1 * k + cls] + t2[c2 * k + cls] - z[c1 * k + c2]).astype(np.float64) + share[ids]
         if end < 0:
             lone = np.log10(ALPHA / (model.total + ALPHA * (model.distinct + 1)))
         plain = base[ids] if end >= 0 else base[ids] + np.where(cls == END, lone, 0.0)
@@ -318,8 +366,8 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
         facts = pa.StructArray.from_arrays([pa.array(docs, pa.int64()), pa.array(held, pa.bool_()), pa.array(n, pa.int64()), *map(pa.array, sums)], names)
         nulls = pa.nulls(len(keys), kind)
         return pa.RecordBatch.from_arrays(
-            [pa.array(keys + [b" %d" % u for u in own.tolist()], pa.binary()), pa.array(np.concatenate([row, own])), pa.concat_arrays([nulls, facts])],
-            names=["word", "uid", "doc"],
+            [pa.array(keys + [b" %d" % u for u in own.tolist()], pa.binary()), pa.array(np.concatenate([row, own])), pa.array(np.concatenate([sizes[cls[rare]], np.zeros(len(own))])), pa.concat_arrays([nulls, facts])],
+            names=["word", "uid", "size", "doc"],
         )
 
     for batch in batches:
@@ -343,16 +391,14 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     Each word outside the head goes to its count's row with its document's number; a document's own row has a key
     that no word can have. One shuffle by word and one of sums by document.
     """
-    out = "word binary, uid long, doc struct<doc_id: long, held_out: boolean, n_tokens: long, n_known: long, base: double, score: double>"
-    parts = docs.select("doc_id", "held_out", "text").mapInArrow(partial(_score, model=model), out)
+    out = "word binary, uid long, size double, doc struct<doc_id: long, held_out: boolean, n_tokens: long, n_known: long, base: double, score: double>"
+    parts = docs.select("doc_id", "held_out", "text").mapInArrow(partial(_score, model=model, normalisers=model.normalisers()), out)
     found = parts.join(counts, "word", "left")
     c, rare = F.coalesce("c", F.lit(0)), F.col("doc").isNull()
 
-    def share(total: int, distinct: int) -> Column:
-        return F.when(rare, F.log10((c + ALPHA) / F.lit(total + ALPHA * (distinct + 1)))).otherwise(F.lit(0.0))
-
-    base = F.coalesce("doc.base", F.lit(0.0)) + share(model.total, model.distinct)
-    own = F.coalesce("doc.score", F.lit(0.0)) + share(model.other_total, model.other_distinct)
+    alone = F.when(rare, F.log10(c + ALPHA)).otherwise(F.lit(0.0))
+    base = F.coalesce("doc.base", F.lit(0.0)) + F.when(rare, alone - math.log10(model.total + ALPHA * (model.distinct + 1))).otherwise(F.lit(0.0))
+    own = F.coalesce("doc.score", F.lit(0.0)) + F.when(rare, alone - F.col("size")).otherwise(F.lit(0.0))
     known = F.coalesce("doc.n_known", (rare & (c > 0)).cast("long"))
     flat = found.select("uid", F.col("doc.doc_id").alias("doc_id"), F.col("doc.held_out").alias("held_out"), F.col("doc.n_tokens").alias("n_tokens"), known.alias("n_known"), base.alias("base"), own.alias("own"))
     sums = flat.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("own").alias("score"))

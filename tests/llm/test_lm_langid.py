@@ -39,16 +39,62 @@ def test_model_is_a_distribution_and_learns(spark):
     train = df.selectExpr("cast(text as binary) as text")
     model, counts = lm_score.fit(train, settings)
     t1, t2, z = model.tables()
-    k = settings.classes
     total = (10.0 ** (t1[:, None, :] + t2[None, :, :] - z[:, :, None])).sum(axis=2)
-    assert np.allclose(total, 1, atol=1e-3)
-    # the other class's share over its words and one unseen word is a distribution too
-    other = [r["c"] for r in counts.collect() if model.cls[model.head[bytes(r["word"])]] == lm_score.OTHER] if counts.count() <= len(model.head) else []
-    if other:
-        assert math.isclose(sum(c + 0.1 for c in [*other, 0]) / (model.other_total + 0.1 * (model.other_distinct + 1)), 1)
+    assert np.allclose(total, 1, atol=1e-3) and model.k == 8
+    # a tail class's shares over its words and one unseen word are a distribution too
+    seen = {bytes(r["word"]): r["c"] for r in counts.collect()}
+    by_class = {}
+    for w, c in zip(seen, model.classes_of(list(seen), model.ids(list(seen))).tolist(), strict=True):
+        by_class.setdefault(c, []).append(seen[w])
+    assert all(len(by_class[c]) == 1 for c in range(model.first_tail))
+    for c in range(model.first_tail, model.k):
+        assert math.isclose(sum(n + 0.1 for n in [*by_class.get(c, []), 0]), 10 ** model.sizes()[c])
     scored = lm_score.fit_and_score(df, settings=settings).where("held_out").selectExpr("sum(score)", "sum(base_score)").first()
     assert scored[0] > 0.8 * scored[1]  # log probabilities: nearer to 0 is better
-    assert k == 8
+
+
+def test_scores_against_plain_python(docs, rows):
+    """Every token's probability from the model's parameters by sums over all classes, without tables."""
+    read = docs.selectExpr("doc_id", "false as held_out", "cast(coalesce(text, '') as binary) as text")
+    settings = lm_score.Settings(classes=40, size=6, batch=256)
+    model, counts = lm_score.fit(read.select("text"), settings)
+    seen = {bytes(r["word"]): r["c"] for r in counts.collect()}
+    order = sorted((w for w in seen if w), key=lambda w: (-seen[w], w))[:19]
+    tail = lambda w: 20 + zlib.crc32(w[:2] + w[-2:]) % 20
+    cls = lambda w: 0 if w == b"" else order.index(w) + 1 if w in order else tail(w)
+    words_of, memo = Counter(), {}
+    mass = Counter()
+    for w, c in seen.items():
+        words_of[cls(w)] += 1
+        mass[cls(w)] += c
+
+    def log_p(a, b, w):
+        if (a, b) not in memo:
+            e = np.exp((model.c[0] * model.r[a] + model.c[1] * model.r[b]).astype(float) @ model.q.T.astype(float) + model.b)
+            memo[a, b] = np.log10(e / e.sum())
+        k = cls(w)
+        return memo[a, b][k] + (math.log10((seen[w] + 0.1) / (mass[k] + 0.1 * (words_of[k] + 1))) if k >= 20 else 0)
+
+    want = Counter()
+    for i, t, _, _ in rows:
+        w = [*(t or "").encode().lower().split(), b""]
+        c = [0, 0, *map(cls, w)]
+        want[(i, round(sum(log_p(c[j + 1], c[j], x) for j, x in enumerate(w)), 1))] += 1
+    got = Counter((r["doc_id"], round(r["score"], 1)) for r in lm_score.score(read, model, counts).collect())
+    off = [x for x in got if x not in want and (x[0], round(x[1] + 0.1, 1)) not in want and (x[0], round(x[1] - 0.1, 1)) not in want]
+    assert not off and sum(got.values()) == len(rows)
+
+
+def test_rare_words_are_told_from_each_other_on_held_out_text(spark):
+    """With 31 words of their own class among 900, the other words' classes must tell which tongue goes on."""
+    rnd = random.Random(5)
+    texts = []
+    for i in range(600):
+        p = rnd.choice(["ka", "lo", "mi"])
+        texts.append((i, " ".join(f"{p}{rnd.randrange(300)}x" for _ in range(60))))
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = lm_score.fit_and_score(df, settings=lm_score.Settings(classes=64, size=12)).where("held_out").selectExpr("sum(score)", "sum(base_score)", "sum(n_tokens)").first()
+    assert (got[0] - got[1]) / got[2] > 0.35  # knowing the tongue is worth log10(3) = 0.48 a word
 
 
 def test_score_empty_and_untrained(spark, empty):
