@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from quillfold.operators import evals, feed, geometry, mirror, pipeline, records, studies, text  # noqa: F401
+from quillfold.operators import calls, evals, feed, geometry, mirror, pipeline, records, studies, text  # noqa: F401

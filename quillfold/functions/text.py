@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Section rules.
-REFERENCE_HEADINGS = ("references", "bibliography", "works cited", "literature cited")
-ACKNOWLEDGEMENT_STEMS = ("acknowledg", "致谢", "謝辞")
+REFERENCE_HEADINGS = ("references", "bibliography", "works cited", "literature cited", "references and notes", "參考文獻", "参考文献", "參考資料")
+ACKNOWLEDGEMENT_STEMS = ("acknowledg", "致謝", "致谢", "誌謝")
 MIN_SECTION_CHARS, CHARS_A_SENTENCE, MAX_SENTENCES = 500, 1500, 8
 CHARS_AN_OVERVIEW_SENTENCE, MIN_OVERVIEW, MAX_OVERVIEW = 8000, 5, 15
 CHUNK_CHARS = 8000

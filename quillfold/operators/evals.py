@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillfold.functions.scores import platt, wilson
@@ -180,7 +180,7 @@ def bootstrap_auroc(spark: SparkSession, d: str, draws: int = 2000) -> DataFrame
     Every draw weighs a group by a count that depends on draw and group alone, so draws need no shuffle of their own
     and repeat on every run; ranks are taken once over distinct scores.
     """
-    s = scored(spark, d)
+    s = scored(spark, d).where(~F.col("failed"))
     u = (F.pmod(F.xxhash64("grp", "draw"), F.lit(1_000_003)) + 0.5) / 1_000_003
     # as far as u tells counts apart: a tenth is rarer than its steps
     weight, below_ = F.lit(0), 0.0
@@ -193,7 +193,7 @@ def bootstrap_auroc(spark: SparkSession, d: str, draws: int = 2000) -> DataFrame
     g = ties.select("draw", "n", "pos", (F.col("pos") * (below + (F.col("n") + 1) / 2)).alias("r")).groupBy("draw").agg(F.sum("r").alias("r"), F.sum("pos").alias("k"), F.sum("n").alias("n"))
     k = F.col("k")
     a = g.select(F.try_divide(F.col("r") - k * (k + 1) / 2, k * (F.col("n") - k)).alias("a"))
-    return a.agg(F.round(F.percentile("a", F.lit(0.025)), 6).alias("low"), F.round(F.percentile("a", F.lit(0.975)), 6).alias("high"), F.count("a").alias("draws"))
+    return a.agg(F.round(F.percentile("a", F.lit(0.025)), 6).alias("low"), F.round(F.percentile("a", F.lit(0.975)), 6).alias("high"), F.lit(draws).cast("long").alias("attempted"), F.count("a").alias("valid"), (F.lit(draws) - F.count("a")).alias("skipped"))
 
 
 @query("least_squares_tokens", "WITH x AS (SELECT CAST(length(text) AS DOUBLE) AS a, CAST(turn + 1 AS DOUBLE) AS b, CAST(length(text) * 2 + 30 * (turn + 1) + length(role) AS DOUBLE) AS y FROM conversations), m AS (SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb, sum(a * y) AS ay, sum(b * y) AS byy FROM x) SELECT round((ay * bb - byy * ab) / (aa * bb - ab * ab), 6) AS per_char, round((byy * aa - ay * ab) / (aa * bb - ab * ab), 6) AS per_call FROM m")
@@ -213,18 +213,79 @@ def rule_scores(spark: SparkSession, d: str) -> DataFrame:
     return scored(spark, d).select("doc_id", F.col("p").alias("g"), t.alias("targeted"), F.least("p", t).alias("both_min"))
 
 
-@query("sample_floor", f"WITH {SCORES_SQL} SELECT category, sum(y) >= 5 AND count(*) >= 50 AS enough, CASE WHEN sum(y) < 5 THEN 'FEW_ERRORS' WHEN count(*) < 50 THEN 'FEW_UNITS' WHEN avg(p) < 0.3 THEN 'WEAK_SIGNAL' END AS reason FROM s GROUP BY 1")
+@query("sample_floor", f"WITH {SCORES_SQL} SELECT category, sum(y) >= 5 AND count(*) >= 50 AS enough, CASE WHEN sum(y) < 5 THEN 'FEW_ERRORS' WHEN count(*) < 50 THEN 'FEW_UNITS' END AS reason FROM s GROUP BY 1")
 def sample_floor(spark: SparkSession, d: str) -> DataFrame:
     e, n = F.sum("y"), F.count("*")
-    return scored(spark, d).groupBy("category").agg(((e >= 5) & (n >= 50)).alias("enough"), F.when(e < 5, "FEW_ERRORS").when(n < 50, "FEW_UNITS").when(F.avg("p") < 0.3, "WEAK_SIGNAL").alias("reason"))
+    return scored(spark, d).groupBy("category").agg(((e >= 5) & (n >= 50)).alias("enough"), F.when(e < 5, "FEW_ERRORS").when(n < 50, "FEW_UNITS").alias("reason"))
+
+
+#: Two questions' scores of the same units: the areas under both curves, failed units left out.
+TWO_SQL = """u AS (SELECT l.doc_id, d.lang AS category, l.toxic AS y, (d.n_chars % 97 + 40 * l.toxic) / CAST(140 AS DOUBLE) AS q1, (d.n_chars % 89 + 45 * (1 - l.quality)) / CAST(140 AS DOUBLE) AS q2 FROM labels l JOIN documents d USING (doc_id) WHERE NOT d.n_chars < 60),
+    v AS (SELECT {by} AS category, 1 AS q, q1 AS p, y FROM u UNION ALL SELECT {by}, 2, q2, y FROM u),
+    t AS (SELECT category, q, p, count(*) AS n, sum(y) AS pos FROM v GROUP BY 1, 2, 3),
+    r AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY category, q ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (n + 1) / 2 AS rank FROM t),
+    a AS (SELECT category, q, round((sum(pos * rank) - sum(pos) * (sum(pos) + 1) / 2) / nullif(sum(pos) * (sum(n) - sum(pos)), 0), 8) AS auroc FROM r GROUP BY 1, 2),
+    w AS (SELECT category, max(auroc) FILTER (q = 1) AS one, max(auroc) FILTER (q = 2) AS two FROM a GROUP BY 1)"""
+
+
+def two_questions(spark: SparkSession, d: str, by: str | None) -> DataFrame:
+    """category and the AUROCs one and two of two score columns; by: None for all units together."""
+    x = load(spark, d, "labels").join(load(spark, d, "documents"), "doc_id").where("not n_chars < 60")
+    group, y = (F.col(by) if by else F.lit("all")).alias("category"), F.col("toxic").alias("y")
+    out = None
+    for name, more in (("one", 40 * F.col("toxic") + F.col("n_chars") % 97), ("two", 45 * (1 - F.col("quality")) + F.col("n_chars") % 89)):
+        a = auroc(x.select(group, y, (more / F.lit(140.0)).alias("p")), "category").select("category", F.round("auroc", 8).alias(name))
+        out = a if out is None else out.join(a, "category")
+    return out
 
 
-@query("question_selection", f"WITH {SCORES_SQL}, a AS (SELECT category, avg(p) FILTER (y = 1) - avg(p) FILTER (y = 0) AS q1, avg(1 - p) FILTER (y = 1) - avg(1 - p) FILTER (y = 0) AS q2 FROM s GROUP BY 1) SELECT category, CASE WHEN q1 >= q2 THEN 'q1' ELSE 'q2' END AS question, q1 - q2 > 0.05 AS by_margin FROM a")
+@query("question_selection", f"WITH {TWO_SQL.format(by='category')} SELECT category, one AS q1_auroc, two AS q2_auroc, CASE WHEN one IS NOT NULL AND (two IS NULL OR one > two) THEN 'Q1' ELSE 'Q2' END AS question FROM w")
 def question_selection(spark: SparkSession, d: str) -> DataFrame:
-    y = F.col("y") == 1
-    q1 = F.avg(F.when(y, F.col("p"))) - F.avg(F.when(~y, F.col("p")))
-    a = scored(spark, d).groupBy("category").agg(q1.alias("q1")).withColumn("q2", -F.col("q1"))
-    return a.select("category", F.when(F.col("q1") >= F.col("q2"), "q1").otherwise("q2").alias("question"), (F.col("q1") - F.col("q2") > 0.05).alias("by_margin"))
+    """The first question where its area is known and the greater, else the second."""
+    one, two = F.col("one"), F.col("two")
+    return two_questions(spark, d, "lang").select("category", one.alias("q1_auroc"), two.alias("q2_auroc"), F.when(one.isNotNull() & (two.isNull() | (one > two)), "Q1").otherwise("Q2").alias("question"))
+
+
+# The margin of the format choice, and what a signal must reach not to be called weak.
+FORMAT_MARGIN = 0.01
+SIGNAL_AUROC, SIGNAL_LOW = 0.75, 0.5
+# end of fixed values
+
+
+@query("format_choice", f"WITH {TWO_SQL.format(by=chr(39) + 'all' + chr(39))} SELECT one AS json_auroc, two AS text_auroc, CASE WHEN two >= one + {FORMAT_MARGIN} THEN 'text' ELSE 'json' END AS format FROM w")
+def format_choice(spark: SparkSession, d: str) -> DataFrame:
+    """The second format of the same question, if its area exceeds the first's by the margin."""
+    one, two = F.col("one"), F.col("two")
+    return two_questions(spark, d, None).select(one.alias("json_auroc"), two.alias("text_auroc"), F.when(two >= one + FORMAT_MARGIN, "text").otherwise("json").alias("format"))
+
+
+def strong_signal(area: Column, low: Column) -> Column:
+    """Whether area and the interval's lower end are high enough; null if either is unknown."""
+    return F.when(area.isNotNull() & low.isNotNull(), (area >= SIGNAL_AUROC) & (low > SIGNAL_LOW))
+
+
+@query("weak_signal")
+def weak_signal(spark: SparkSession, d: str) -> DataFrame:
+    """The area of all valid units with its bootstrap interval, and whether the signal passes."""
+    s = scored(spark, d).where(~F.col("failed"))
+    area = auroc(s.withColumn("category", F.lit("all")), "category").select(F.round("auroc", 8).alias("auroc"))
+    facts = ("auroc", "low", "high", "attempted", "valid", "skipped")
+    # a row each, made one
+    both = area.unionByName(bootstrap_auroc(spark, d), allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in facts])
+    return both.select("auroc", "low", "high", "attempted", "valid", "skipped", strong_signal(F.col("auroc"), F.col("low")).alias("passes"))
+
+
+@query("frozen_evaluation", f"WITH {SCORES_SQL}, g AS (SELECT category, CAST(sum(y) FILTER (doc_id % 2 = 0) AS BIGINT) AS dev, CAST(sum(y) FILTER (doc_id % 2 = 1) AS BIGINT) AS test, count(*) AS units, count(*) FILTER (failed) AS failed FROM s GROUP BY 1) SELECT category, dev AS dev_changed, test AS test_changed, units, failed, CASE WHEN dev >= 5 AND test >= 5 THEN 'thresholds' WHEN dev + test >= 5 THEN 'auroc_only' ELSE 'not_evaluable' END AS sample_floor, CASE WHEN dev + test < 5 THEN 'FEWER_THAN_FIVE_CHANGED_ACROSS_DEV_AND_TEST' END AS reason, test = frozen.n AS consistent FROM g JOIN (SELECT lang AS category, CAST(sum(toxic) AS BIGINT) AS n FROM labels JOIN documents USING (doc_id) WHERE doc_id % 2 = 1 GROUP BY 1) frozen USING (category)")
+def frozen_evaluation(spark: SparkSession, d: str) -> DataFrame:
+    """What each category's changed units (even ids: dev, odd: test) allow to be evaluated, and whether the test's
+    count is the frozen one."""
+    odd = F.col("doc_id") % 2 == 1
+    units = scored(spark, d).groupBy("category").agg(F.sum(F.when(~odd, F.col("y"))).cast("long").alias("dev"), F.sum(F.when(odd, F.col("y"))).cast("long").alias("test"), F.count("*").alias("units"), F.sum(F.col("failed").cast("long")).alias("failed"))
+    frozen = load(spark, d, "labels").join(load(spark, d, "documents"), "doc_id").where(odd).groupBy(F.col("lang").alias("category")).agg(F.sum("toxic").cast("long").alias("frozen"))
+    dev, test = F.col("dev"), F.col("test")
+    floor = F.when((dev >= 5) & (test >= 5), "thresholds").when(dev + test >= 5, "auroc_only").otherwise("not_evaluable")
+    reason = F.when(dev + test < 5, "FEWER_THAN_FIVE_CHANGED_ACROSS_DEV_AND_TEST")
+    return units.join(frozen, "category").select("category", dev.alias("dev_changed"), test.alias("test_changed"), "units", "failed", floor.alias("sample_floor"), reason.alias("reason"), (test == F.col("frozen")).alias("consistent"))
 
 
 @query("nearest_ranks", "WITH v AS (SELECT event_type, list_sort(list(value)) AS xs, count(*) AS n FROM events GROUP BY 1) SELECT event_type, xs[least(n - 1, CAST(floor(0.99 * n) AS BIGINT)) + 1] AS by_index, xs[CAST(ceil(0.95 * n) AS BIGINT)] AS by_ceil, xs[greatest(0, CAST(floor(0.99 * n) AS BIGINT) - 1) + 1] AS before, xs[n // 2 + 1] AS upper_median, round(quantile_cont(v, 0.95), 8) AS interpolated FROM v JOIN (SELECT event_type, list(value) AS l, NULL AS z FROM events GROUP BY 1) USING (event_type), LATERAL (SELECT unnest(l) AS v) GROUP BY ALL")

@@ -38,7 +38,7 @@ def sectioning(spark: SparkSession, d: str) -> DataFrame:
     return sections(load(spark, d, "documents")).select("doc_id", "section", "heading", F.sha2("body", 256).alias("body_sha256"))
 
 
-@query("skip_reasons", f"WITH {SECTION_SQL}, h AS (SELECT *, lower(trim(regexp_replace(regexp_replace(heading, '^\\s*(?:[0-9]+(?:\\.[0-9]+)*|[IVXLC]+|[A-Z])[.):]?\\s+', ''), '[\\s.:;,]+$', ''))) AS name FROM g) SELECT doc_id, section, name, CASE WHEN trim(body) = '' THEN 'EMPTY' WHEN name IN ('references', 'bibliography', 'works cited', 'literature cited') THEN 'REFERENCES' WHEN starts_with(name, 'acknowledg') THEN 'ACKNOWLEDGEMENTS' END AS reason FROM h")
+@query("skip_reasons", f"WITH {SECTION_SQL}, h AS (SELECT *, lower(trim(regexp_replace(regexp_replace(heading, '^\\s*(?:[0-9]+(?:\\.[0-9]+)*|[IVXLC]+|[A-Z])[.):]?\\s+', ''), '[\\s.:;,]+$', ''))) AS name FROM g) SELECT doc_id, section, name, CASE WHEN trim(body) = '' THEN 'EMPTY' WHEN name IN ('references', 'bibliography', 'works cited', 'literature cited', 'references and notes', '參考文獻', '参考文献', '參考資料') THEN 'REFERENCES' WHEN starts_with(name, 'acknowledg') OR starts_with(name, '致謝') OR starts_with(name, '致谢') OR starts_with(name, '誌謝') THEN 'ACKNOWLEDGEMENTS' END AS reason FROM h")
 def skip_reasons(spark: SparkSession, d: str) -> DataFrame:
     return sections(load(spark, d, "documents")).select("doc_id", "section", t.heading(F.col("heading")).alias("name"), t.skip_reason(F.col("heading"), F.col("body")).alias("reason"))
 
@@ -143,16 +143,37 @@ def plant_validity(spark: SparkSession, d: str) -> DataFrame:
     return x.select("conv_id", "turn", (F.col("new").isNotNull() & F.coalesce(F.col("text") != F.col("new"), F.lit(False)) & ~F.coalesce(F.col("new").startswith("I cannot"), F.lit(False))).alias("valid"))
 
 
-@query("publish_screen", r"SELECT doc_id, regexp_matches(text, '(?i)(TODO|FIXME|XXX)') AS placeholder, regexp_matches(text, '(/home/|/Users/)[a-z]') AS local_path, len(list_filter(regexp_extract_all(text, '[A-Za-z0-9._+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'), lambda x: NOT ends_with(x, '.invalid'))) AS emails, regexp_matches(text, 'AKIA[A-Z0-9]{14,}|-----BEGIN [A-Z ]*PRIVATE KEY') AS secret FROM documents")
-def publish_screen(spark: SparkSession, d: str) -> DataFrame:
-    """What must not be published: placeholders, local paths, addresses off the allow-list, keys."""
-    mail = F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), F.lit(0))
+# What must not be published. A placeholder's braces are looked for without a command's arguments.
+PLACEHOLDER = r"\{([A-Z][A-Z0-9_]*|#[0-9A-Z_]+)\}"
+BRACED = r"(\\[A-Za-z]+|[$^_])(\{[^{}]*\})+"
+LOCAL_PATH = r"(/Users/[^/\s]+/|/home/[^/\s]+/|/private/(tmp|var)/|/var/folders/)"
+EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+HOST = r"(?m)[A-Za-z0-9-]+\.local([^A-Za-z0-9.]|$)"
+SECRET = r"(?m)(^|[^A-Za-z0-9_-])(AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{20,}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|-----BEGIN [A-Z ]*PRIVATE KEY-----)"
+# end of fixed values
+#: Addresses that may be published; a deployment adds its own.
+EMAIL_OK = r"(@users\.noreply\.github\.com|@example\.(com|org|net)|@[0-9]+\.ya?ml)$"
+
+
+@query("publish_screen", f"SELECT doc_id, regexp_matches(regexp_replace(text, '{BRACED}', '', 'g'), '{PLACEHOLDER}') AS placeholder, regexp_matches(text, '{LOCAL_PATH}') AS local_path, CAST(len(list_filter(regexp_extract_all(text, '{EMAIL}'), lambda x: NOT regexp_matches(x, '{EMAIL_OK}'))) AS BIGINT) AS emails, regexp_matches(text, '{HOST}') AS hostname, regexp_matches(text, '{SECRET}') AS secret FROM documents")
+def publish_screen(spark: SparkSession, d: str, allowed: str = EMAIL_OK) -> DataFrame:
+    """What must not be published: placeholders, local paths, addresses off the allow-list, host names, keys.
+
+    Each long pattern is held to the texts in which a plain search finds what it needs.
+    """
+    text = F.col("text")
+    mail = F.when(text.contains("@"), F.regexp_extract_all("text", F.lit(EMAIL), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    marks = [text.contains(x) for x in ("AKIA", "ghp_", "github_pat_", "sk-", "xox", "-----BEGIN ")]
+    key = marks[0]
+    for m in marks[1:]:
+        key = key | m
     return load(spark, d, "documents").select(
         "doc_id",
-        F.col("text").rlike("(?i)(TODO|FIXME|XXX)").alias("placeholder"),
-        F.col("text").rlike("(/home/|/Users/)[a-z]").alias("local_path"),
-        F.size(F.filter(mail, lambda x: ~x.endswith(".invalid"))).cast("long").alias("emails"),
-        F.col("text").rlike("AKIA[A-Z0-9]{14,}|-----BEGIN [A-Z ]*PRIVATE KEY").alias("secret"),
+        (text.contains("{") & F.regexp_replace("text", BRACED, "").rlike(PLACEHOLDER)).alias("placeholder"),
+        (text.contains("/") & text.rlike(LOCAL_PATH)).alias("local_path"),
+        F.size(F.filter(mail, lambda x: ~x.rlike(allowed))).cast("long").alias("emails"),
+        (text.contains(".local") & text.rlike(HOST)).alias("hostname"),
+        (key & text.rlike(SECRET)).alias("secret"),
     )
 
 
