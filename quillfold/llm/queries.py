@@ -92,18 +92,20 @@ ORACLES: dict[str, str] = {
             SELECT rid, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid
         ), rules AS (
             SELECT w.rid, doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
-                   CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(hit.n, 0) AS n_repeat_words
+                   CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(hit.n, 0) AS n_repeat_words
             FROM w LEFT JOIN hit ON hit.rid = w.rid
         ), judged AS (
             SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM rules
+        ), failures AS (
+            SELECT source, unnest([n_words < 50, 100 * n_repeat_words > 50 * n_words, 10 * n_symbols > n_words, 10 * n_dup_lines > 3 * n_lines]) AS failed, unnest([1, 2, 3, 4]) AS rule FROM judged
         ), hosts AS (
-            SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS f FROM judged GROUP BY source
+            SELECT source, rule, count(*) AS n, count(*) FILTER (failed) AS f FROM failures GROUP BY source, rule
         ), moments AS (
-            SELECT sum(f) / sum(n) AS mean, sum((f / n) * (f / n) * n) / sum(n) AS square FROM hosts
+            SELECT rule, sum(f) / sum(n) AS mean, sum((f / n) * (f / n) * n) / sum(n) AS square FROM hosts GROUP BY rule
         ), prior AS (
-            SELECT mean, greatest(1.0, least(1000.0, coalesce(mean * (1 - mean) / nullif(square - mean * mean, 0) - 1, 1000.0))) AS strength FROM moments
+            SELECT rule, mean, greatest(1.0, least(1000.0, coalesce(mean * (1 - mean) / nullif(square - mean * mean, 0) - 1, 1000.0))) AS strength FROM moments
         ), verdicts AS (
-            SELECT source, (f + mean * strength) / (n + strength) <= 0.8 AS host_kept FROM hosts, prior
+            SELECT source, max((f + mean * strength) / (n + strength)) <= 0.5 AS host_kept FROM hosts JOIN prior USING (rule) GROUP BY source
         )
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND host_kept AS kept
         FROM judged JOIN verdicts ON verdicts.source IS NOT DISTINCT FROM judged.source

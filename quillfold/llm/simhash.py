@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillfold.llm.common import forget, frugal, stored, text_of
+from quillfold.llm.common import forget, fresh, frugal, stored, text_of
 
 SEED = 42
 TILE = 4096
@@ -265,12 +265,12 @@ def row_key(docs: DataFrame) -> Column:
 
 def one_each(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """docs with one row of each label of labelled (doc_id, row, label): that of its smallest doc_id, nulls last."""
-    rows = stored(labelled, "labelled")
+    rows, own = stored(labelled, "labelled"), fresh(docs, "own_row")
     first = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least"))
-    kept = stored(first.select(F.col("least.row").alias("_row")), "kept")
-    left = docs.withColumn("_row", row_key(docs)).join(kept, "_row", "left_semi")
-    again = rows.join(kept, rows["row"] == kept["_row"], "left_semi").groupBy("row").agg(F.count("*").alias("n")).where("n > 1")
-    return (left.dropDuplicates(["_row"]) if again.limit(1).count() else left).select(*docs.columns)
+    kept = stored(first.select(F.col("least.row").alias(own)), "kept")
+    left = docs.select("*", row_key(docs).alias(own)).join(kept, own, "left_semi")
+    again = rows.join(kept, rows["row"] == kept[own], "left_semi").groupBy("row").agg(F.count("*").alias("n")).where("n > 1")
+    return (left.dropDuplicates([own]) if again.limit(1).count() else left).select(*docs.columns)
 
 
 def labelled(docs: DataFrame, span: int = 3, limbs: int = 1, radius: int = 3) -> DataFrame:

@@ -73,5 +73,23 @@ def test_host_verdicts_shrink_small_hosts(spark):
     assert all(r["kept"] == (r["doc_id"] >= 1000 and r["doc_id"] < 5000) for r in got)
 
 
+def test_each_rule_judges_hosts(spark):
+    good = [f"a{k}" for k in range(60)]
+    bad = {"symbols": " ".join([*good, "#" * 20]), "dup_lines": "\n".join([" ".join(good), *["same line again"] * 4]), "words": "too few"}
+    rows = [(100 * i + k, t if k < 80 else " ".join(good), host) for i, (host, t) in enumerate(bad.items()) for k in range(100)]
+    rows += [(1000 + k, " ".join(good) if k % 4 else bad["symbols"], ("fine", None)[k % 2]) for k in range(400)]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)).collect()
+    assert len(got) == len(rows) and all(r["kept"] == (r["doc_id"] >= 1000) for r in got)
+    assert {r["source"] for r in got if r["base_failed"]} == {"words"}
+
+
+def test_mixing_carries_columns_of_any_name(spark):
+    names = "bits copies below copy plan plan_source size h target bucket fp label leaf row rejected score".split()
+    docs = spark.range(40).selectExpr("id as doc_id", "concat('w ', id) as text", "if(id % 2 = 0, 'a', null) as source", *[f"id as {n}" for n in names])
+    got = mixing.mixed(docs)
+    assert got.columns == docs.columns and got.count() > 40
+    assert got.where(" or ".join(f"{n} <> doc_id" for n in names)).count() == 0
+
+
 def test_quality_empty(empty):
     assert quality.judge(empty).collect() == []

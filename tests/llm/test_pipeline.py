@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 
 
@@ -56,6 +58,17 @@ def test_every_stage_takes_an_empty_table(spark):
         assert stage(spark, df.limit(0), "").count() == 0
 
 
+def test_stages_take_repeated_rows_and_clashing_columns(spark):
+    _, df, _ = corpus(spark)
+    names = "bits copies below row did line leaf masked fp limbs lang_pred rejected score _row _lines".split()
+    docs = df.union(df.where("doc_id < 5")).select("*", *[F.col("doc_id").alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got and all(r[n] == r["doc_id"] for r in got for n in names), name
+
+
 def test_run_over_a_whole_table(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 0 and out.where("length <= 0 or offset < 0").count() == 0
