@@ -1,8 +1,10 @@
 """Classes of near copies by exact similarity of their shingle sets.
 
 Two documents are linked if the Jaccard similarity of their sets of `span`-word shingles (64-bit hashes) is `least` or
-more; classes are the connected components. Pairs meet by prefix filtering, which loses none: of the sets in hash
-order, two that are similar enough share a shingle among the first n - ceil(least n) + 1 of each.
+more; classes are the connected components. Pairs meet by prefix filtering, which loses none: of the sets in one order
+of all shingles, two that are similar enough share a shingle among the first n - ceil(least n) + 1 of each. The order is
+by hash; shingles that then stand in very many prefixes, as those of a passage that a third of all documents hold, are
+put behind all others, so that only sets made of little else still meet by them.
 
 Prefix groups are cut down by a 256-bit sketch of the set with a radius so wide that it is passed by all that is
 similar enough (a pair of similarity 0.8 fails it with a probability under 1e-9): first every member against its
@@ -30,6 +32,10 @@ from quillfold.llm.common import forget, frugal, stored, text_of
 from quillfold.llm.simhash import SEED, components, dealt, grouped, links_of, majority, near, one_each, row_key
 
 LIMBS = 4
+#: A shingle in the prefixes of over HOT_LEAST sets, and of over a share of HOT_SHARE, comes last in all sets' order. So
+#: there are at most a fifth of the mean set size / HOT_SHARE such shingles: some megabytes, at any number of sets.
+HOT_LEAST = 1024
+HOT_SHARE = 1e-4
 #: Of the sketch's 256 bits. Sets of 4 and 5 shingles are the worst case of similarity 0.8: 48 bits, give or take 6.2.
 RADIUS = 88
 
@@ -72,6 +78,34 @@ def _sets(batches: Iterator[pa.RecordBatch], span: int, least: float) -> Iterato
             yield out(rows)
 
 
+@frugal
+def _demoted(batches: Iterator[pa.RecordBatch], hot: np.ndarray, least: float) -> Iterator[pa.RecordBatch]:
+    """fp, limbs and the first shingles with `hot` (sorted) behind all others, of rows (fp, limbs, first, grams)."""
+    for batch in batches:
+        first = []
+        for f, g in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            own = np.asarray(f, np.int64).view(np.uint64)
+            if len(own) and (hot[np.minimum(np.searchsorted(hot, own), len(hot) - 1)] == own).any():
+                grams = np.frombuffer(g, np.uint64)
+                last = hot[np.minimum(np.searchsorted(hot, grams), len(hot) - 1)] == grams
+                f = np.concatenate([grams[~last], grams[last]])[: prefix_length(len(grams), least)].view(np.int64)
+            first.append(f)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(first, pa.list_(pa.int64()))], names=["fp", "limbs", "first"])
+
+
+def _nodes(sets: DataFrame, least: float, hot_least: int) -> DataFrame:
+    """A stored table of the distinct sets: fp, limbs and first."""
+    nodes = stored(sets.select("fp", "limbs", "first").dropDuplicates(["fp"]), "nodes")
+    many = max(hot_least, int(nodes.count() * HOT_SHARE))
+    hot = nodes.select(F.explode("first").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > many).select("key")
+    keys = np.sort(np.array([r["key"] for r in hot.collect()], np.int64).view(np.uint64))
+    if not len(keys):
+        return nodes
+    forget(nodes)
+    again = sets.select("fp", "limbs", "first", "grams").mapInArrow(partial(_demoted, hot=keys, least=least), "fp long, limbs array<long>, first array<long>")
+    return stored(again.dropDuplicates(["fp"]), "nodes")
+
+
 def distance(a: Column, b: Column) -> Column:
     return reduce(lambda x, y: x + y, [F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(LIMBS)])
 
@@ -135,13 +169,13 @@ def _verified(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _alike(groups, least)], names=["a", "b"])
 
 
-def labelled(docs: DataFrame, span: int = 5, least: float = 0.8) -> DataFrame:
+def labelled(docs: DataFrame, span: int = 5, least: float = 0.8, hot_least: int = HOT_LEAST) -> DataFrame:
     """One row per document: doc_id, row (row_key) and label, its class's name."""
     read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key(docs), text_of(docs).cast("binary").alias("text"))
     made = read.mapInArrow(partial(_sets, span=span, least=least), "doc_id long, row long, fp long, limbs array<long>, first array<long>, grams binary")
     sets = stored(made, "sets")
     prints = stored(sets.select("doc_id", "row", "fp"), "prints")
-    nodes = stored(sets.select("fp", "limbs", "first").dropDuplicates(["fp"]), "nodes")
+    nodes = _nodes(sets, least, hot_least)
     found = coarse(nodes)
     members = sets.select("fp", "limbs", "grams").join(found.select(F.col("node").alias("fp"), F.col("label").alias("key")), "fp").dropDuplicates(["fp"]).select("fp", "limbs", F.lit(0).alias("table"), "key", "grams")
     edges = stored(dealt(members, "grams").mapInArrow(partial(_verified, least=least), "a long, b long").distinct(), "alike")

@@ -1,6 +1,7 @@
 import random
 
 import corpus_pipeline
+import pytest
 
 from quillfold.llm import near_copies, simhash
 
@@ -42,12 +43,15 @@ def near_texts():
     return [*texts, "", None, "a b", "A  b", "one two three four"]
 
 
-def test_classes_are_those_of_exact_similarity(spark, monkeypatch):
+@pytest.mark.parametrize("hot_least", [4, 1024])
+def test_classes_are_those_of_exact_similarity(spark, monkeypatch, hot_least):
     texts = near_texts()
+    # a passage that a third of all documents hold
+    texts = [f"{t} {texts[-10]}" if t and i % 3 == 0 and i < 300 else t for i, t in enumerate(texts)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     want = plain_labels(texts)
     monkeypatch.setattr(simhash, "TILE", 16)
-    got = {r["doc_id"]: r["label"] for r in near_copies.labelled(df).collect()}
+    got = {r["doc_id"]: r["label"] for r in near_copies.labelled(df, hot_least=hot_least).collect()}
     pairs = {(want[i], got[i]) for i in range(len(texts))}
     assert len(pairs) == len(set(want)) == len(set(got.values()))
 
