@@ -235,8 +235,8 @@ def two_questions(spark: SparkSession, d: str, by: str | None) -> DataFrame:
     out = None
     for name, more in (("one", 40 * F.col("toxic") + F.col("n_chars") % 97), ("two", 45 * (1 - F.col("quality")) + F.col("n_chars") % 89)):
         a = auroc(x.select(group, y, (more / F.lit(140.0)).alias("p")), "category").select("category", F.round("auroc", 8).alias(name))
-        out = a if out is None else out.join(a, "category")
-    return out
+        out = a if out is None else out.unionByName(a, allowMissingColumns=True)
+    return out.groupBy("category").agg(F.max("one").alias("one"), F.max("two").alias("two"))
 
 
 @query("question_selection", f"WITH {TWO_SQL.format(by='category')} SELECT category, one AS q1_auroc, two AS q2_auroc, CASE WHEN one IS NOT NULL AND (two IS NULL OR one > two) THEN 'Q1' ELSE 'Q2' END AS question FROM w")
