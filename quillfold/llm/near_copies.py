@@ -56,11 +56,11 @@ def prefix_length(n: int, least: float) -> int:
 
 
 @frugal
-def _sets(batches: Iterator[pa.RecordBatch], span: int, least: float) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
     def out(rows: list[tuple]) -> pa.RecordBatch:
-        ids, keys, names, limbs, first, sets = zip(*rows, strict=True)
-        cols = [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(names, pa.int64()), pa.array(limbs, pa.list_(pa.int64())), pa.array(first, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
-        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "row", "fp", "limbs", "first", "grams"])
+        ids, keys, names, limbs, sets = zip(*rows, strict=True)
+        cols = [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(names, pa.int64()), pa.array(limbs, pa.list_(pa.int64())), pa.array(sets, pa.binary())]
+        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "row", "fp", "limbs", "grams"])
 
     import xxhash
 
@@ -69,7 +69,7 @@ def _sets(batches: Iterator[pa.RecordBatch], span: int, least: float) -> Iterato
         for d, key, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             s = shingle_set(text, span)
             name = np.uint64(xxhash.xxh64_intdigest(s.tobytes(), seed=SEED)).view(np.int64)
-            rows.append((d, key, name, majority(s, LIMBS).view(np.int64), s[: prefix_length(len(s), least)].view(np.int64), s.tobytes()))
+            rows.append((d, key, name, majority(s, LIMBS).view(np.int64), s.tobytes()))
             size += len(s)
             if size > 500_000:
                 yield out(rows)
@@ -79,31 +79,36 @@ def _sets(batches: Iterator[pa.RecordBatch], span: int, least: float) -> Iterato
 
 
 @frugal
-def _demoted(batches: Iterator[pa.RecordBatch], hot: np.ndarray, least: float) -> Iterator[pa.RecordBatch]:
-    """fp, limbs and the first shingles with `hot` (sorted) behind all others, of rows (fp, limbs, first, grams)."""
+def _firsts(batches: Iterator[pa.RecordBatch], hot: np.ndarray, least: float) -> Iterator[pa.RecordBatch]:
+    """fp, limbs and the first shingles, `hot` (sorted) behind all others, of rows (fp, limbs, grams)."""
     for batch in batches:
         first = []
-        for f, g in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            own = np.asarray(f, np.int64).view(np.uint64)
-            if len(own) and (hot[np.minimum(np.searchsorted(hot, own), len(hot) - 1)] == own).any():
-                grams = np.frombuffer(g, np.uint64)
+        for g in batch.column(2).to_pylist():
+            grams = np.frombuffer(g, np.uint64)
+            own = grams[: prefix_length(len(grams), least)]
+            if len(own) and len(hot) and (hot[np.minimum(np.searchsorted(hot, own), len(hot) - 1)] == own).any():
                 last = hot[np.minimum(np.searchsorted(hot, grams), len(hot) - 1)] == grams
-                f = np.concatenate([grams[~last], grams[last]])[: prefix_length(len(grams), least)].view(np.int64)
-            first.append(f)
+                own = np.concatenate([grams[~last], grams[last]])[: len(own)]
+            first.append(own.view(np.int64))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(first, pa.list_(pa.int64()))], names=["fp", "limbs", "first"])
 
 
 def _nodes(sets: DataFrame, least: float, hot_least: int) -> DataFrame:
     """A stored table of the distinct sets: fp, limbs and first."""
-    nodes = stored(sets.select("fp", "limbs", "first").dropDuplicates(["fp"]), "nodes")
+
+    def with_firsts(hot: np.ndarray) -> DataFrame:
+        made = sets.select("fp", "limbs", "grams").mapInArrow(partial(_firsts, hot=hot, least=least), "fp long, limbs array<long>, first array<long>")
+        return stored(made.dropDuplicates(["fp"]), "nodes")
+
+    nodes = with_firsts(np.zeros(0, np.uint64))
     many = max(hot_least, int(nodes.count() * HOT_SHARE))
-    hot = nodes.select(F.explode("first").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > many).select("key")
+    hot = stored(nodes.select(F.explode("first").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > many).select("key"), "hot")
     keys = np.sort(np.array([r["key"] for r in hot.collect()], np.int64).view(np.uint64))
+    forget(hot)
     if not len(keys):
         return nodes
     forget(nodes)
-    again = sets.select("fp", "limbs", "first", "grams").mapInArrow(partial(_demoted, hot=keys, least=least), "fp long, limbs array<long>, first array<long>")
-    return stored(again.dropDuplicates(["fp"]), "nodes")
+    return with_firsts(keys)
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -172,14 +177,15 @@ def _verified(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Re
 def labelled(docs: DataFrame, span: int = 5, least: float = 0.8, hot_least: int = HOT_LEAST) -> DataFrame:
     """One row per document: doc_id, row (row_key) and label, its class's name."""
     read = docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_key(docs), text_of(docs).cast("binary").alias("text"))
-    made = read.mapInArrow(partial(_sets, span=span, least=least), "doc_id long, row long, fp long, limbs array<long>, first array<long>, grams binary")
+    made = read.mapInArrow(partial(_sets, span=span), "doc_id long, row long, fp long, limbs array<long>, grams binary")
     sets = stored(made, "sets")
     prints = stored(sets.select("doc_id", "row", "fp"), "prints")
     nodes = _nodes(sets, least, hot_least)
     found = coarse(nodes)
+    forget(nodes)
     members = sets.select("fp", "limbs", "grams").join(found.select(F.col("node").alias("fp"), F.col("label").alias("key")), "fp").dropDuplicates(["fp"]).select("fp", "limbs", F.lit(0).alias("table"), "key", "grams")
     edges = stored(dealt(members, "grams").mapInArrow(partial(_verified, least=least), "a long, b long").distinct(), "alike")
-    forget(sets, nodes, found)
+    forget(sets, found)
     labels = components(edges).select(F.col("node").alias("fp"), "label")
     forget(edges)
     return prints.join(labels, "fp", "left").select("doc_id", "row", F.coalesce("label", "fp").alias("label"))
