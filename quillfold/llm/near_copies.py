@@ -38,6 +38,8 @@ HOT_LEAST = 1024
 HOT_SHARE = 1e-4
 #: Of the sketch's 256 bits. Sets of 4 and 5 shingles are the worst case of similarity 0.8: 48 bits, give or take 6.2.
 RADIUS = 88
+#: Rows of two longs that are broadcast at most (32 MB); beyond, sets are shuffled to the picked rows.
+BROADCAST_ROWS = 2_000_000
 
 
 def shingle_set(text: str | bytes, span: int = 5) -> np.ndarray:
@@ -183,9 +185,13 @@ def labelled(docs: DataFrame, span: int = 5, least: float = 0.8, hot_least: int
     nodes = _nodes(sets, least, hot_least)
     found = coarse(nodes)
     forget(nodes)
-    members = sets.select("fp", "limbs", "grams").join(found.select(F.col("node").alias("fp"), F.col("label").alias("key")), "fp").dropDuplicates(["fp"]).select("fp", "limbs", F.lit(0).alias("table"), "key", "grams")
+    # one row of each set is picked before any set moves, so that copies do not meet in one task
+    coarsely = found.select(F.col("node").alias("fp"), F.col("label").alias("key"))
+    picked = stored(prints.groupBy("fp").agg(F.min("row").alias("row")).join(coarsely, "fp").select("row", "key"), "picked")
+    side = F.broadcast(picked) if picked.count() <= BROADCAST_ROWS else picked
+    members = sets.select("row", "fp", "limbs", "grams").join(side, "row").dropDuplicates(["fp"]).select("fp", "limbs", F.lit(0).alias("table"), "key", "grams")
     edges = stored(dealt(members, "grams").mapInArrow(partial(_verified, least=least), "a long, b long").distinct(), "alike")
-    forget(sets, found)
+    forget(sets, found, picked)
     labels = components(edges).select(F.col("node").alias("fp"), "label")
     forget(edges)
     return prints.join(labels, "fp", "left").select("doc_id", "row", F.coalesce("label", "fp").alias("label"))
