@@ -147,17 +147,47 @@ def renumbered_refs(spark: SparkSession, d: str) -> DataFrame:
 TREE_SQL = "WITH RECURSIVE n AS (SELECT p_partkey AS id, p_partkey // 3 AS parent FROM part), t AS (SELECT id, id AS root, printf('%012d', id) AS path, 0 AS depth FROM n WHERE parent = 0 UNION ALL SELECT n.id, t.root, t.path || '/' || printf('%012d', n.id), t.depth + 1 FROM n JOIN t ON n.parent = t.id WHERE n.parent > 0)"
 
 
+#: Levels of a tree whose nodes are ordered by one task, those below by a task a subtree.
+TREE_TOP = 8
+#: Rows of two longs that are broadcast at most; beyond, they are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
 @query("reading_order", TREE_SQL + " SELECT root, id, CAST(depth AS INTEGER) AS depth, row_number() OVER (PARTITION BY root ORDER BY path) AS ordinal FROM t")
 def reading_order(spark: SparkSession, d: str) -> DataFrame:
-    """Depth-first order of each tree: a recursive walk carries each node's path, and paths sort as the walk goes."""
-    load(spark, d, "part").createOrReplaceTempView("_tree_part")
-    t = spark.sql(
-        """WITH RECURSIVE n AS (SELECT p_partkey AS id, p_partkey div 3 AS parent FROM _tree_part),
-        t(id, root, path, depth) AS (SELECT id, id, lpad(cast(id AS string), 12, '0'), 0 FROM n WHERE parent = 0
-          UNION ALL SELECT n.id, t.root, concat(t.path, '/', lpad(cast(n.id AS string), 12, '0')), t.depth + 1 FROM n JOIN t ON n.parent = t.id WHERE n.parent > 0)
-        SELECT * FROM t"""
-    )
-    return t.select("root", "id", "depth", F.row_number().over(Window.partitionBy("root").orderBy("path")).cast("long").alias("ordinal"))
+    """Depth-first order of each tree, in which paths of padded ids sort as the walk goes.
+
+    A node's ancestors follow from its id, so no recursion walks down to it. What is left to look up is whether each
+    ancestor is there, and how often: ids for which that is not once are few, or none. A tree is ordered within its
+    subtrees of TREE_TOP levels down, after the counts of the subtrees before.
+    """
+    def parent(id, n=1):
+        return F.call_function("div", id, F.lit(3**n) if isinstance(n, int) else n)
+
+    ids = load(spark, d, "part").select(F.col("p_partkey").alias("id")).where("id > -3")  # others have a parent that is no node
+    seen = ids.select("id", F.lit(1).alias("m")).union(ids.where("id > 2").select(parent(F.col("id")), F.lit(0))).groupBy("id").agg(F.sum("m").alias("m"))
+    powers = [F.lit(3**k) for k in range(40)]  # up to the last below 2**63
+    depth = sum((F.when(F.col("id") >= p, 1).otherwise(0) for p in powers[1:]), F.lit(0))
+    nodes = seen.where("m > 0").select("id", depth.alias("depth"))
+    chain = F.transform(F.slice(F.array(*powers[::-1]), F.lit(40) - F.col("depth"), F.col("depth") + 1), lambda p: parent(F.col("id"), p))
+
+    odd = seen.where("m <> 1").select(F.col("id").alias("a"), "m")
+    odd = F.broadcast(odd) if odd.count() <= BROADCAST_ROWS else odd
+    met = nodes.select("id", F.explode_outer(chain).alias("a")).join(odd, "a").groupBy("id").agg(F.product("m").cast("long").alias("copies"))
+    here = nodes.join(met, "id", "left").select("id", "depth", chain.alias("chain"), F.coalesce("copies", F.lit(1)).alias("copies")).where("copies > 0")
+
+    def path(c):
+        padded = F.transform(c, lambda a: F.when(a < 10**12, F.lpad(a.cast("string"), 12, "0")).otherwise(a.cast("string")))
+        return F.array_join(padded, "/")
+
+    part = parent(F.col("id"), F.element_at(F.array(*powers), F.greatest(F.lit(1), F.col("depth") - TREE_TOP + 1)))
+    t = here.select(F.get("chain", F.lit(0)).alias("root"), "id", "depth", "chain", part.alias("part"), F.slice("chain", 1, TREE_TOP + 1).alias("top"), "copies")
+    parts = t.groupBy("root", "part", "top").agg(F.sum("copies").alias("n"))  # some 3 ** (TREE_TOP + 1) at most
+    earlier = F.sum("n").over(Window.partitionBy("root").orderBy(path("top")).rowsBetween(Window.unboundedPreceding, -1))
+    before = parts.select("part", F.coalesce(earlier, F.lit(0)).alias("before"))
+    each = t.select("root", "id", "depth", "part", path(F.slice("chain", TREE_TOP + 2, 40)).alias("path"), F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+    k = F.row_number().over(Window.partitionBy("part").orderBy("path"))
+    return each.withColumn("k", k).join(F.broadcast(before), "part").select("root", "id", "depth", (F.col("before") + F.col("k")).alias("ordinal"))
 
 
 @query("provenance_split", "SELECT conv_id, turn, list_transform(range(1, 4), lambda k: substr(text, CAST(length(text) - 20 * k + 1 AS BIGINT), 20))[1] AS last_part, substr(text, 1, length(text) - 60) AS rest FROM conversations WHERE length(text) > 70")

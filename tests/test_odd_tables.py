@@ -36,3 +36,25 @@ def test_route_thresholds_without_a_threshold(spark, tmp_path):
         add("d", 10 * k if k < 9 else None, k % 2 if k else None)
     got = same(spark, tmp_path, "route_thresholds", documents=("doc_id long, lang string, source string, n_chars long", docs), labels=("doc_id long, quality int, toxic int", labels))
     assert sorted(r[0] for r in got) == ["b", "d"]
+
+
+def test_reading_order_past_the_recursion_limit(spark, tmp_path):
+    """Whole trees, gaps, repeated ids, ids below 1, deep chains and ids of more digits than are padded."""
+    def chain(k):
+        return [k // 3**n for n in range(40) if k >= 3**n]
+
+    ids = [*range(1, 60), *range(90, 130), 500, *chain(2**63 - 1), *chain(10**12 - 1), 10**12, 10**12 + 1, *range(3 * 10**12 - 3, 3 * 10**12 + 6)]
+    ids = [k for k in sorted(set(ids)) if k not in (5, 31)] + [2, 13, 13, 40, 10**12, 0, 0, -1, -2, -3, -9, None]
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "20")
+    try:
+        got = same(spark, tmp_path, "reading_order", part=("p_partkey long", [(k,) for k in ids]))
+    finally:
+        spark.conf.unset("spark.sql.cteRecursionRowLimit")
+    assert max(r[2] for r in got) == 39
+    assert not {5, 15, 31, 93, 500} & {r[1] for r in got}
+
+
+def test_reading_order_without_a_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("quillfold.operators.geometry.BROADCAST_ROWS", 0)
+    ids = [k for k in range(1, 400) if k % 7] + list(range(1, 400, 11))
+    same(spark, tmp_path, "reading_order", part=("p_partkey long", [(k,) for k in ids]))
