@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -277,20 +279,39 @@ def label_recall(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("source", fold(F.col("text")).alias("folded")).join(labels, "source").groupBy("source").agg(F.count("*").alias("nodes"), F.count_if(F.contains("folded", "label")).alias("found"))
 
 
+#: Bytes of passages, and 16 a word, that are broadcast at once.
+BLOCK_BYTES = 16 << 20
+
+
 @query("substring_audit", "SELECT b.item_id FROM benchmark b WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE contains(d.text, b.text))")
 def substring_audit(spark: SparkSession, d: str) -> DataFrame:
     """Passages that no document holds as a whole.
 
-    A theta anti-join would compare all pairs; here passages and documents meet on hashes of the passage's first
-    eight words, and only these pairs are compared.
+    A theta anti-join would compare all pairs. A passage is held where its inner words are whole words of a document,
+    its first ends the word before them and its last starts the word after; so passages and documents meet on each
+    passage's longest inner word, and the others are compared from there. Passages without an inner word are searched
+    for as they are. Passages are broadcast in blocks of BLOCK_BYTES, and documents read once a block; no text moves.
     """
-    def grams(c):
-        w = F.split(c, " ")
-        return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(w) - 3)), lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, 2), " ")))
-
-    b = load(spark, d, "benchmark").where("item_id is not null")
-    # the first word of a passage may be the end of a longer one, so the second and third are the key
-    keyed = b.select("item_id", "text", F.xxhash64(F.array_join(F.slice(F.split("text", " "), 2, 2), " ")).alias("k"))
-    docs = load(spark, d, "documents").select(F.col("text").alias("doc"), F.explode(F.array_distinct(grams(F.col("text")))).alias("k"))
-    hit = keyed.join(docs, "k").where(F.contains("doc", "text")).select("item_id").distinct()
-    return b.select("item_id").join(hit, "item_id", "left_anti")
+    b, docs = load(spark, d, "benchmark"), load(spark, d, "documents").select(F.col("text").alias("doc"))
+    n, inner = F.size("words"), F.slice("words", 2, F.greatest(F.lit(0), F.size("words") - 2))
+    passages = b.where("text is not null").select("text").distinct().select("text", F.split("text", " ").alias("words"))
+    size = passages.agg(F.sum(F.octet_length("text") + 16 * n), F.count_if(n < 3)).first()
+    blocks = max(1, math.ceil((size[0] or 0) / BLOCK_BYTES))
+
+    longest = F.array_max(F.transform(inner, lambda v, i: F.struct(F.length(v).alias("len"), (-i).alias("i"), v.alias("key"))))
+    keyed = passages.where(n >= 3).select("text", "words", longest.alias("k"))
+    keyed = keyed.select("text", "words", F.col("k.key").alias("key"), (1 - F.col("k.i")).alias("at"))
+    at = docs.select(F.split("doc", " ").alias("w")).select("w", F.posexplode_outer("w").alias("pos", "key"))
+    first = F.greatest(F.lit(0), F.col("pos") - F.col("at"))  # of the words that the passage would lie in
+    near = [F.get("w", F.col("pos") + k).eqNullSafe(F.get("words", F.col("at") + k)) for k in (-1, 1)]
+    near = (near[0] | (F.col("at") == 1)) & (near[1] | (F.col("at") == n - 2))
+    ends = F.endswith(F.get("w", first), F.get("words", F.lit(0))) & F.startswith(F.get("w", first + n - 1), F.get("words", n - 1))
+    held = near & (F.col("pos") >= F.col("at")) & ends & (F.slice("w", first + 2, F.size(inner)) == inner)
+
+    hit = passages.select("text").limit(0)
+    for k in range(blocks):
+        here = F.pmod(F.xxhash64("text"), F.lit(blocks)) == k
+        hit = hit.union(at.join(F.broadcast(keyed.where(here)), "key").where(held).select("text"))
+        if size[1]:
+            hit = hit.union(docs.join(F.broadcast(passages.where((n < 3) & here)), F.contains("doc", "text")).select("text"))
+    return b.join(hit.distinct(), "text", "left_anti").select("item_id")

@@ -58,3 +58,30 @@ def test_reading_order_without_a_broadcast(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("quillfold.operators.geometry.BROADCAST_ROWS", 0)
     ids = [k for k in range(1, 400) if k % 7] + list(range(1, 400, 11))
     same(spark, tmp_path, "reading_order", part=("p_partkey long", [(k,) for k in ids]))
+
+
+PASSAGES = ["", " ", "a", "ab", "zz", "b c", "c d", "a b c", "xa b cd", "c  d", "c   e", "one two three four", "two three four five", "wo three fou", "four one", "ber die", "über die Straße ging", "ber die Straße g", "die strasse ging", "one\ntwo three", "ne\ntwo three four", " lead", "trail ", "r r r x", "r r r r r", "r q r r s", None]
+TEXTS = ["xa b cd", "c  d  e", "one two three four one two three", "one\ntwo three four five", "wir über die Straße gingen", " lead and trail ", "r r r q r r r s " * 50, "", None]
+
+
+def benchmark_and_documents(texts=TEXTS):
+    items = [(k, text) for k, text in enumerate(PASSAGES)] + [(3, "no such text at all"), (3, "a b c"), (None, "nor this one here"), (None, "xa b cd")]
+    return {"benchmark": ("item_id long, text string", items), "documents": ("doc_id long, text string", list(enumerate(texts)))}
+
+
+def test_substring_audit_of_short_and_ragged_passages(spark, tmp_path):
+    same(spark, tmp_path / "a", "substring_audit", **benchmark_and_documents())
+    same(spark, tmp_path / "b", "substring_audit", **benchmark_and_documents([None]))
+
+
+def test_substring_audit_in_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("quillfold.operators.text.BLOCK_BYTES", 300)
+    same(spark, tmp_path, "substring_audit", **benchmark_and_documents())
+
+
+def test_substring_audit_splits_a_document_once(spark, tmp_path):
+    """200,000 words of one text: splitting it again for each word would take hours."""
+    text = " ".join(f"w{k % 5000}" for k in range(200_000))
+    items = [(1, "w10 w11 w12 w13 w14"), (2, "w10 w11 w12 w14 w15"), (3, "4999 w0 w1 w2 w")]
+    got = same(spark, tmp_path, "substring_audit", benchmark=("item_id long, text string", items), documents=("doc_id long, text string", [(1, text)]))
+    assert list(got) == [(2,)]
