@@ -72,3 +72,17 @@ def test_stages_take_repeated_rows_and_clashing_columns(spark):
 def test_run_over_a_whole_table(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 0 and out.where("length <= 0 or offset < 0").count() == 0
+
+
+def test_every_stage_starts_from_a_collected_heap(spark):
+    _, df, _ = corpus(spark)
+    docs = df.limit(20)
+
+    def full() -> int:
+        beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+    for name, stage in corpus_pipeline.STAGES:
+        before = full()
+        stage(spark, docs, "")
+        assert full() > before, name
